@@ -55,16 +55,26 @@ class Vault:
         """Keep the rows that no hub can take, those without a business key."""
         self.store.replace_batch(f"REJECTED_{name.upper()}", rejected_rows(staged, keys), batch.id, _folder(name))
 
-    def load_hub(self, feeds: Sequence[tuple[DataFrame, HubSpec, str]], batch: Batch) -> LoadResult:
-        """Load a hub from its sources (staged frame, hub on its key, source name)."""
+    def load_hub(
+        self, feeds: Sequence[tuple[DataFrame, HubSpec, str]], batch: Batch, row_bound: int | None = None
+    ) -> LoadResult:
+        """Load a hub from its sources (staged frame, hub on its key, source name).
+
+        ``row_bound``, here and below, is the row count of the staged frames where
+        the caller has it already.
+        """
         rows = hub_rows_from_feeds(feeds, batch.ts)
         feed = "+".join(source for _, _, source in feeds)
-        return self._load(feeds[0][1], rows, [staged for staged, _, _ in feeds], feed, batch)
+        return self._load(feeds[0][1], rows, [staged for staged, _, _ in feeds], feed, batch, row_bound)
 
-    def load_link(self, staged: DataFrame, spec: LinkSpec, source: str, batch: Batch) -> LoadResult:
-        return self._load(spec, link_rows(staged, spec, source, batch.ts), [staged], source, batch)
+    def load_link(
+        self, staged: DataFrame, spec: LinkSpec, source: str, batch: Batch, row_bound: int | None = None
+    ) -> LoadResult:
+        return self._load(spec, link_rows(staged, spec, source, batch.ts), [staged], source, batch, row_bound)
 
-    def load_satellite(self, staged: DataFrame, spec: SatSpec, source: str, batch: Batch) -> LoadResult:
+    def load_satellite(
+        self, staged: DataFrame, spec: SatSpec, source: str, batch: Batch, row_bound: int | None = None
+    ) -> LoadResult:
         """Load a satellite or link satellite.
 
         A look at the parent keys alone, a narrow shuffle, decides whether the wide
@@ -72,7 +82,7 @@ class Vault:
         """
         unique = is_unique(staged, spec.parent_keys)
         rows = sat_rows(staged, spec, source, batch.ts, unique=unique)
-        return self._load(spec, rows, [staged], source, batch)
+        return self._load(spec, rows, [staged], source, batch, row_bound)
 
     def _load(
         self,
@@ -81,13 +91,14 @@ class Vault:
         staged: Sequence[DataFrame],
         source: str,
         batch: Batch,
+        row_bound: int | None,
     ) -> LoadResult:
         schema = spec.schema(staged[0].schema)
         feed = _folder(source)
         known = self.store.exists(spec.name, schema)
         if known:
             target = self.store.read_others(spec.name, schema, batch.id, feed)
-            bound = sum(df.count() for df in staged)
+            bound = sum(df.count() for df in staged) if row_bound is None else row_bound
             if isinstance(spec, SatSpec):
                 rows = new_versions(rows, target, spec, row_bound=bound)
             else:

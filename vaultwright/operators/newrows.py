@@ -19,22 +19,30 @@ def _renamed(df: DataFrame, on: Sequence[str], side: str) -> DataFrame:
     return df.select(*[F.col(c).alias(side + c) for c in on])
 
 
-def _equal(left: str, right: str, on: Sequence[str]) -> Column:
-    """Equality that also matches NULL hash diffs, which the null-passing rule yields."""
+def _equal(left: str, right: str, on: Sequence[str], null_safe: Sequence[str] = ()) -> Column:
     return reduce(
         lambda a, b: a & b,
         [
-            F.col(left + c).eqNullSafe(F.col(right + c)) if c == HASH_DIFF else F.col(left + c) == F.col(right + c)
+            F.col(left + c).eqNullSafe(F.col(right + c)) if c in null_safe else F.col(left + c) == F.col(right + c)
             for c in on
         ],
     )
 
 
 def new_rows(
-    batch: DataFrame, target: DataFrame, on: Sequence[str], *, target_unique: bool = True
+    batch: DataFrame,
+    target: DataFrame,
+    on: Sequence[str],
+    *,
+    target_unique: bool = True,
+    null_safe: Sequence[str] = (),
 ) -> DataFrame:
     """Batch rows without a match in the target.
 
+    Columns in ``null_safe`` also match where both sides are NULL. The others
+    compare plainly: rows grouped by ``on`` then meet the target as they are
+    partitioned, while a null-safe comparison would shuffle them once more.
+
     Where the target can hold a key many times (a satellite by parent), its keys
     are made unique first. That uses the shuffle the join needs anyway, combines
     on the map side, and no busy key lands on one join task.
@@ -42,10 +50,12 @@ def new_rows(
     held = _renamed(target, on, "held_")
     if not target_unique:
         held = held.distinct()
-    return batch.join(held, _equal("", "held_", on), "left_anti")
+    return batch.join(held, _equal("", "held_", on, null_safe), "left_anti")
 
 
-def new_rows_small_batch(batch: DataFrame, target: DataFrame, on: Sequence[str]) -> DataFrame:
+def new_rows_small_batch(
+    batch: DataFrame, target: DataFrame, on: Sequence[str], *, null_safe: Sequence[str] = ()
+) -> DataFrame:
     """The same rows for a batch small enough to broadcast.
 
     The target is only filtered where it lies, never shuffled. The second
@@ -54,8 +64,8 @@ def new_rows_small_batch(batch: DataFrame, target: DataFrame, on: Sequence[str])
     """
     wanted = _renamed(batch, on, "wanted_")
     held = _renamed(target, on, "held_")
-    hits = held.join(F.broadcast(wanted), _equal("held_", "wanted_", on), "left_semi").distinct()
-    return batch.join(F.broadcast(hits), _equal("", "held_", on), "left_anti")
+    hits = held.join(F.broadcast(wanted), _equal("held_", "wanted_", on, null_safe), "left_semi").distinct()
+    return batch.join(F.broadcast(hits), _equal("", "held_", on, null_safe), "left_anti")
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -67,7 +77,13 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def new_rows_by_size(
-    batch: DataFrame, target: DataFrame, on: Sequence[str], *, row_bound: int, target_unique: bool = True
+    batch: DataFrame,
+    target: DataFrame,
+    on: Sequence[str],
+    *,
+    row_bound: int,
+    target_unique: bool = True,
+    null_safe: Sequence[str] = (),
 ) -> DataFrame:
     """The broadcast form where the batch provably fits, else the plain anti join.
 
@@ -75,8 +91,8 @@ def new_rows_by_size(
     of its stage table, which parquet answers from file footers.
     """
     if row_bound * KEY_BYTES * len(on) <= broadcast_limit(batch):
-        return new_rows_small_batch(batch, target, on)
-    return new_rows(batch, target, on, target_unique=target_unique)
+        return new_rows_small_batch(batch, target, on, null_safe=null_safe)
+    return new_rows(batch, target, on, target_unique=target_unique, null_safe=null_safe)
 
 
 def new_versions(
@@ -86,15 +102,21 @@ def new_versions(
 
     With ``row_bound``, a small batch takes the broadcast form.
     """
+    # Only the null-passing rule yields NULL hash diffs.
+    null_safe = (HASH_DIFF,) if spec.rule.nulls == "propagate" else ()
     if spec.policy == "hash_diff" and spec.history == "latest":
-        return changed_since_latest(rows, target, spec.hk)
+        return changed_since_latest(rows, target, spec.hk, null_safe=null_safe)
     unique = spec.policy != "key"
     if row_bound is None:
-        return new_rows(rows, target, spec.match, target_unique=unique)
-    return new_rows_by_size(rows, target, spec.match, row_bound=row_bound, target_unique=unique)
+        return new_rows(rows, target, spec.match, target_unique=unique, null_safe=null_safe)
+    return new_rows_by_size(
+        rows, target, spec.match, row_bound=row_bound, target_unique=unique, null_safe=null_safe
+    )
 
 
-def changed_since_latest(rows: DataFrame, target: DataFrame, hk: str) -> DataFrame:
+def changed_since_latest(
+    rows: DataFrame, target: DataFrame, hk: str, *, null_safe: Sequence[str] = ()
+) -> DataFrame:
     """Rows that differ from what their parent held at its latest load.
 
     Both aggregates keep only a timestamp per group, so they combine on the map
@@ -108,7 +130,7 @@ def changed_since_latest(rows: DataFrame, target: DataFrame, hk: str) -> DataFra
     )
     last = _renamed(target, [hk, LOAD_DATE], "last_").groupBy("last_" + hk).agg(F.max("last_" + LOAD_DATE).alias("last"))
     return (
-        rows.join(seen, _equal("", "seen_", version), "left")
+        rows.join(seen, _equal("", "seen_", version, null_safe), "left")
         .join(last, _equal("", "last_", [hk]), "left")
         .where(F.col("seen").isNull() | (F.col("seen") < F.col("last")))
         .select(*rows.columns)

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultwright.operators import build, newrows
+from vaultwright.plans.hubs import fresh_vault
 from vaultwright.plans.links import LNK_ITEM, LNK_ORDER, LOADED_THROUGH, SQL_ITEM_HK, SQL_ORDER_HK, loaded_orders
 from vaultwright.plans.registry import (
     FIRST, SECOND, THIRD, query, sql_audit, sql_blank, sql_fixed, sql_hk, sql_joined, table,
 )
-from vaultwright.spec import PASS_NULLS, HubSpec, SatSpec
+from vaultwright.spec import BATCH_ID, PASS_NULLS, HubSpec, SatSpec
 
 HUB_CUSTOMER = HubSpec("CUSTOMER", "c_custkey")
 SAT_CUSTOMER = SatSpec("SAT_CUSTOMER", HUB_CUSTOMER, ("c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
@@ -80,15 +81,21 @@ def sat_incremental_by_hashdiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _incremental(spark, sf_dir, SAT_CUSTOMER)
 
 
-@query(f"{_customers('customer', THIRD)} WHERE c_acctbal >= 0 AND c_mktsegment = 'BUILDING'")
-def sat_incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The segment lost its name in the second batch and has it again in the third."""
-    customers = table(spark, sf_dir, "customer")
-    first = build.sat_rows(customers, SAT_CUSTOMER_LATEST, "customer.csv", FIRST.ts)
-    changed = build.sat_rows(_customers_before(spark, sf_dir), SAT_CUSTOMER_LATEST, "customer.csv", SECOND.ts)
-    stored = first.unionByName(newrows.new_versions(changed, first, SAT_CUSTOMER_LATEST))
-    batch = build.sat_rows(customers, SAT_CUSTOMER_LATEST, "customer.csv", THIRD.ts)
-    return newrows.new_versions(batch, stored, SAT_CUSTOMER_LATEST)
+@query(f"""
+    SELECT *, '{FIRST.id}' AS BATCH_ID FROM ({_customers('customer', FIRST)}) AS a
+    UNION ALL
+    SELECT *, '{SECOND.id}' AS BATCH_ID FROM ({_customers(_BEFORE, SECOND)} WHERE c_mktsegment = 'UNNAMED') AS b
+    UNION ALL
+    SELECT *, '{THIRD.id}' AS BATCH_ID
+    FROM ({_customers('customer', THIRD)} WHERE c_acctbal >= 0 AND c_mktsegment = 'BUILDING') AS c
+""")
+def sat_history_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segment loses its name in the second batch and has it again in the third:
+    compared with the latest version, the return is a version of its own."""
+    customers, vault = table(spark, sf_dir, "customer"), fresh_vault(spark)
+    for batch, feed in ((FIRST, customers), (SECOND, _customers_before(spark, sf_dir)), (THIRD, customers)):
+        vault.load_satellite(feed, SAT_CUSTOMER_LATEST, "customer.csv", batch)
+    return vault.read(SAT_CUSTOMER_LATEST, customers).select(*SAT_CUSTOMER_LATEST.columns, BATCH_ID)
 
 
 @query(f"{_ORDER_VERSIONS}, {sql_audit('ORDERS.CSV')} FROM orders")

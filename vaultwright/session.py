@@ -21,6 +21,8 @@ def build_session(app: str = "vaultwright", master: str | None = None, **extra:
 
     ``master`` is left to spark-submit unless given. ``extra`` takes further
     settings with ``__`` for the dots (``spark__sql__shuffle__partitions="8"``).
+    On a cluster set ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``
+    to the largest shuffle over about 128 MB; Spark merges what turns out small.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -35,17 +37,16 @@ def build_session(app: str = "vaultwright", master: str | None = None, **extra:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A temporary folder stands in for it only where executors run inside the
-    driver process; on a cluster a missing setting is an error.
+    Where that is unset, the checkpoint folder of the session, or a temporary one
+    if the executors run inside the driver process; on a cluster it is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="vaultwright-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vaultwright-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -88,6 +88,7 @@ class BucketedStore(FolderStore):
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int, database: str = "default") -> None:
+        """``root`` takes the stage tables, the catalog's ``database`` the others."""
         super().__init__(spark, root)
         self.buckets, self.database = buckets, database
 
@@ -100,17 +101,18 @@ class BucketedStore(FolderStore):
     def replace_batch(
         self, table: str, rows: DataFrame, batch_id: str, feed: str, match: Sequence[str] = ()
     ) -> None:
-        by = list(match) or rows.columns[:1]
-        if not self.spark.catalog.tableExists(self._name(table)):
+        name, by = self._name(table), list(match) or rows.columns[:1]
+        part = f"PARTITION ({BATCH_ID} = '{batch_id}', {FEED} = '{feed}')"
+        if self.spark.catalog.tableExists(name):
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {part}")
+        else:
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
             self.spark.sql(
-                f"CREATE TABLE {self._name(table)} ({columns}, {BATCH_ID} STRING, {FEED} STRING) USING parquet "
-                f"PARTITIONED BY ({BATCH_ID}, {FEED}) CLUSTERED BY ({', '.join(by)}) INTO {self.buckets} BUCKETS "
-                f"LOCATION '{self.path(table)}'"
+                f"CREATE TABLE {name} ({columns}, {BATCH_ID} STRING, {FEED} STRING) USING parquet "
+                f"PARTITIONED BY ({BATCH_ID}, {FEED}) CLUSTERED BY ({', '.join(by)}) INTO {self.buckets} BUCKETS"
             )
         # One file per bucket; the keys are hashes, so the buckets are even.
         self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self._name(table)} PARTITION ({BATCH_ID} = '{batch_id}', {FEED} = '{feed}') "
-            f"SELECT {', '.join(f'`{c}`' for c in rows.columns)} FROM {{rows}}",
+            f"INSERT INTO {name} {part} SELECT {', '.join(f'`{c}`' for c in rows.columns)} FROM {{rows}}",
             rows=rows.repartition(self.buckets, *by),
         )
