@@ -87,11 +87,32 @@ def test_link_satellite_without_parent_in_hash(spark):
     )
 
 
-def test_unique_input_needs_no_shuffle(spark):
-    staged = spark.createDataFrame([(1, "a")], "id int, name string")
+def test_copies_change_the_work_not_the_rows(spark):
     spec = SatSpec("SAT", HUB, ("name",))
-    assert "Exchange" not in plan(build.sat_rows(staged, spec, "x", TS, unique=True))
-    assert tuples(build.sat_rows(staged, spec, "x", TS, unique=True)) == tuples(build.sat_rows(staged, spec, "x", TS))
+    unique = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    repeated = spark.createDataFrame(
+        [(1, "a"), (1, "a"), (1, ""), (1, None), (2, "b"), (2, "b")], "id int, name string"
+    )
+    assert build.copies_of(unique, spec) == "none"
+    assert build.copies_of(repeated, spec) == "many"
+    assert build.copies_of(unique.union(unique.where("id = 1")), spec) == "few"
+    assert build.copies_of(unique.limit(0), spec) == "none"
+
+    def rows(staged, copies):
+        return build.sat_rows(staged, spec, "x", TS, copies=copies)
+
+    assert "Exchange" not in plan(rows(unique, "none"))
+    assert tuples(rows(unique, "none")) == tuples(rows(unique, "few")) == tuples(rows(unique, "many"))
+    assert tuples(rows(repeated, "few")) == tuples(rows(repeated, "many"))
+    assert tuples(rows(repeated, "few"), "name") == [("a",), ("b",), (None,)]
+
+
+def test_many_copies_are_combined_before_hashing(spark):
+    spec = SatSpec("SAT", LINK, ("name", "a"))  # a key can be an attribute as well
+    staged = spark.createDataFrame([(1, 2, "x")] * 3, "a int, b int, name string")
+    lines = plan(build.sat_rows(staged, spec, "x", TS, copies="many")).splitlines()
+    combine = next(i for i, line in enumerate(lines) if "HashAggregate" in line)
+    assert not any("md5" in line for line in lines[combine:])
 
 
 def test_busy_key_is_combined_before_the_shuffle(spark):

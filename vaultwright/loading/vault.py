@@ -10,8 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from vaultwright.loading.staging import stage
-from vaultwright.operators.build import hub_rows_from_feeds, link_rows, rejected_rows, sat_rows
-from vaultwright.operators.checks import is_unique
+from vaultwright.operators.build import copies_of, hub_rows_from_feeds, link_rows, rejected_rows, sat_rows
 from vaultwright.operators.newrows import new_rows_by_size, new_versions
 from vaultwright.sources.store import FolderStore
 from vaultwright.spec import Batch, HubSpec, LinkSpec, SatSpec, StageSpec
@@ -75,13 +74,8 @@ class Vault:
     def load_satellite(
         self, staged: DataFrame, spec: SatSpec, source: str, batch: Batch, row_bound: int | None = None
     ) -> LoadResult:
-        """Load a satellite or link satellite.
-
-        A look at the parent keys alone, a narrow shuffle, decides whether the wide
-        rows need grouping at all.
-        """
-        unique = is_unique(staged, spec.parent_keys)
-        rows = sat_rows(staged, spec, source, batch.ts, unique=unique)
+        """Load a satellite or link satellite."""
+        rows = sat_rows(staged, spec, source, batch.ts, copies=copies_of(staged, spec))
         return self._load(spec, rows, [staged], source, batch, row_bound)
 
     def _load(

@@ -74,21 +74,27 @@ def link_rows(staged: DataFrame, spec: LinkSpec, source: str, ts: datetime) -> D
 
 
 def sat_rows(
-    staged: DataFrame, spec: SatSpec, source: str, ts: datetime, *, unique: bool = False
+    staged: DataFrame, spec: SatSpec, source: str, ts: datetime, *, copies: str = "few"
 ) -> DataFrame:
     """Satellite rows, one per parent and hash diff.
 
     The hash diff is part of the grouping key, so the versions of one busy parent
-    spread over all tasks. ``unique`` skips the grouping, and with it the only
-    shuffle, for input known to hold one row per parent.
+    spread over all tasks. ``copies`` tells how the staged rows repeat, and only
+    changes the work, not the result, as long as it is true:
+
+    none  one row per parent, so nothing is grouped and nothing shuffled
+    few   rows are grouped once
+    many  equal rows are combined before anything is hashed or sorted
     """
     keys = spec.parent_keys
     present = staged.where(_all_present(keys))
+    if copies == "many":
+        present = present.select(*dict.fromkeys([*keys, *spec.attributes])).distinct()
     parent = hash_key(keys[0]) if isinstance(spec.parent, HubSpec) else link_key(present, keys, spec.parent.rule)
     keyed = present.select(parent.alias(spec.hk), *[F.col(c) for c in spec.attributes])
     hashed = [*spec.attributes, spec.hk] if spec.hash_parent else list(spec.attributes)
     versions = keyed.withColumn(HASH_DIFF, hash_diff(keyed, hashed, spec.rule))
-    if not unique:
+    if copies != "none":
         # Equal hash diffs can stand for unequal values (NULL and empty text):
         # the smallest row is kept, whatever order the rows arrive in.
         versions = (
@@ -97,3 +103,13 @@ def sat_rows(
             .select(spec.hk, HASH_DIFF, "row.*")
         )
     return with_audit(versions, source, ts).select(*spec.columns)
+
+
+def copies_of(staged: DataFrame, spec: SatSpec) -> str:
+    """How the parents repeat in the staged rows, counted over the key columns alone:
+    a narrow shuffle that decides over the wide one."""
+    counts = staged.groupBy(*spec.parent_keys).agg(F.count("*").alias("n"))
+    row = counts.agg(F.count("*").alias("parents"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
+    if row["rows"] == row["parents"]:
+        return "none"
+    return "many" if row["rows"] >= 2 * row["parents"] else "few"

@@ -128,7 +128,9 @@ def linksat_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM lineitem
 """)
 def linksat_wide_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build.sat_rows(table(spark, sf_dir, "lineitem"), SAT_LNK_ITEM, "lineitem.csv", FIRST.ts)
+    items = table(spark, sf_dir, "lineitem")
+    copies = build.copies_of(items, SAT_LNK_ITEM)
+    return build.sat_rows(items, SAT_LNK_ITEM, "lineitem.csv", FIRST.ts, copies=copies)
 
 
 HUB_PRIORITY = HubSpec("PRIORITY", "code")
@@ -149,5 +151,5 @@ def code_hub_sat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.split_part("o_orderpriority", F.lit("-"), F.lit(2)).alias("label"),
     )
     hub = build.hub_rows(codes, HUB_PRIORITY, "orders.csv", FIRST.ts).select("PRIORITY_HK", "PRIORITY_BK")
-    sat = build.sat_rows(codes, SAT_PRIORITY, "orders.csv", FIRST.ts).select("PRIORITY_HK", "HASH_DIFF", "label")
+    sat = build.sat_rows(codes, SAT_PRIORITY, "orders.csv", FIRST.ts, copies="many").select("PRIORITY_HK", "HASH_DIFF", "label")
     return hub.join(sat, "PRIORITY_HK")
