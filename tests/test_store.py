@@ -60,6 +60,16 @@ def test_retry_replaces_what_the_first_try_wrote(spark, vault, batches):
     assert hub_keys(vault, empty) == []
 
 
+def test_refresh_replaces_the_whole_table(spark, vault, batches):
+    a, b = things(spark, (1, 1, "a"), (2, 1, "b")), things(spark, (2, 1, "b"), (3, 1, "c"))
+    vault.load_hub([(a, HUB, "x.csv")], batches[0])
+    vault.load_hub([(b, HUB, "y.csv")], batches[1])
+    assert Vault(vault.store, refresh=True).load_hub([(b, HUB, "y.csv")], batches[2]).mode == "refresh"
+    assert hub_keys(vault, a) == [("2", "003"), ("3", "003")]
+    assert vault.load_hub([(a, HUB, "x.csv")], batches[3]).mode == "incremental"
+    assert hub_keys(vault, a) == [("1", "004"), ("2", "003"), ("3", "003")]
+
+
 def test_two_feeds_of_one_batch(spark, vault, batches):
     """Each feed keeps its own partition, in whatever order the feeds run."""
     a, b = things(spark, (1, 1, "a"), (2, 1, "b")), things(spark, (2, 1, "b"), (3, 1, "c"))
@@ -168,6 +178,8 @@ def test_stage_refresh_replaces_the_table(spark, tmp_path):
     vault.stage(spark.createDataFrame([(1, " a ")], spec.schema), spec)
     out = vault.stage(spark.createDataFrame([(2, "\\N"), (3, "c")], spec.schema), spec)
     assert tuples(out, "ID", "TITLE") == [(2, ""), (3, "C")]
+    assert vault.create_view(spec) == "view created for things: stg_things"
+    assert tuples(spark.table("stg_things"), "ID") == [(2,), (3,)]
 
 
 def test_rejects_are_kept(spark, tmp_path, batches):

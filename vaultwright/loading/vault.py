@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from vaultwright.loading.staging import stage
 from vaultwright.operators.build import copies_of, hub_rows_from_feeds, link_rows, rejected_rows, sat_rows
 from vaultwright.operators.newrows import new_rows_by_size, new_versions
+from vaultwright.operators.views import create_stage_view
 from vaultwright.sources.store import FolderStore
 from vaultwright.spec import Batch, HubSpec, LinkSpec, SatSpec, StageSpec
 
@@ -19,7 +20,7 @@ from vaultwright.spec import Batch, HubSpec, LinkSpec, SatSpec, StageSpec
 @dataclass(frozen=True)
 class LoadResult:
     table: str
-    mode: str  # "initial" or "incremental"
+    mode: str  # "initial", "incremental" or "refresh"
 
 
 def _folder(name: str) -> str:
@@ -31,10 +32,14 @@ def _stage_table(spec: StageSpec) -> str:
 
 
 class Vault:
-    """A raw vault in a store. One writer per table at a time."""
+    """A raw vault in a store. One writer per table at a time.
 
-    def __init__(self, store: FolderStore) -> None:
-        self.store = store
+    With ``refresh`` every load replaces its whole table by the batch instead of
+    adding what is new.
+    """
+
+    def __init__(self, store: FolderStore, *, refresh: bool = False) -> None:
+        self.store, self.refresh = store, refresh
 
     def stage(self, raw: DataFrame, spec: StageSpec) -> DataFrame:
         """Refresh the stage table and return it as read back.
@@ -50,6 +55,10 @@ class Vault:
     def staged(self, spec: StageSpec) -> DataFrame:
         return self.store.read_table(_stage_table(spec))
 
+    def create_view(self, spec: StageSpec) -> str:
+        """Create or replace the view of a stage table; returns a status text."""
+        return create_stage_view(self.staged(spec), spec.name)
+
     def reject(self, staged: DataFrame, name: str, keys: Sequence[str], batch: Batch) -> None:
         """Keep the rows that no hub can take, those without a business key."""
         self.store.replace_batch(f"REJECTED_{name.upper()}", rejected_rows(staged, keys), batch.id, _folder(name))
@@ -89,6 +98,9 @@ class Vault:
     ) -> LoadResult:
         schema = spec.schema(staged[0].schema)
         feed = _folder(source)
+        if self.refresh:
+            self.store.refresh(spec.name, rows, batch.id, feed, spec.match)
+            return LoadResult(spec.name, "refresh")
         known = self.store.exists(spec.name, schema)
         if known:
             target = self.store.read_others(spec.name, schema, batch.id, feed)

@@ -69,6 +69,18 @@ def hub_after_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vault.read(HUB_ORDER, orders).select(*HUB_ORDER.columns, BATCH_ID)
 
 
+@query(f"""
+    SELECT DISTINCT {sql_hk('o_orderkey')} AS ORDER_HK, cast(o_orderkey as varchar) AS ORDER_BK,
+           {sql_audit('ORDERS.CSV', SECOND)}, '{SECOND.id}' AS BATCH_ID
+    FROM orders
+""")
+def hub_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vault, orders = fresh_vault(spark), table(spark, sf_dir, "orders")
+    vault.load_hub([(table(spark, sf_dir, "lineitem"), HUB_ORDER_OF_ITEM, "lineitem.csv")], FIRST)
+    Vault(vault.store, refresh=True).load_hub([(orders, HUB_ORDER, "orders.csv")], SECOND)
+    return vault.read(HUB_ORDER, orders).select(*HUB_ORDER.columns, BATCH_ID)
+
+
 @query(f"{_STORED} UNION ALL {_NEW.replace(str(SECOND.ts), str(FIRST.ts))}")
 def hub_multi_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     feeds = [

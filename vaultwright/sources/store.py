@@ -16,7 +16,10 @@ from pyspark.sql import types as T
 
 from vaultwright.spec import BATCH_ID, FEED
 
-_MISSING = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE"}
+_MISSING = {
+    "PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND",
+    "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE", "DELTA_PATH_DOES_NOT_EXIST",
+}
 
 
 def _stored(schema: T.StructType) -> T.StructType:
@@ -71,12 +74,20 @@ class FolderStore:
         part = f"{self.path(table)}/{BATCH_ID}={batch_id}/{FEED}={feed}"
         rows.write.format(self.fmt).mode("overwrite").save(part)
 
+    def refresh(self, table: str, rows: DataFrame, batch_id: str, feed: str, match: Sequence[str] = ()) -> None:
+        """Write the rows of one load in place of the whole table."""
+        (
+            rows.withColumns({BATCH_ID: F.lit(batch_id), FEED: F.lit(feed)})
+            .write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy(BATCH_ID, FEED).save(self.path(table))
+        )
+
     def replace_table(self, table: str, rows: DataFrame) -> None:
-        """Full refresh."""
+        """Write a table without batches, such as a stage table, anew."""
         rows.write.format(self.fmt).mode("overwrite").save(self.path(table))
 
     def read_table(self, table: str) -> DataFrame:
-        """A table written by full refresh."""
+        """A table without batches."""
         return self.spark.read.format(self.fmt).load(self.path(table))
 
 
@@ -116,3 +127,8 @@ class BucketedStore(FolderStore):
             f"INSERT INTO {name} {part} SELECT {', '.join(f'`{c}`' for c in rows.columns)} FROM {{rows}}",
             rows=rows.repartition(self.buckets, *by),
         )
+
+    def refresh(self, table: str, rows: DataFrame, batch_id: str, feed: str, match: Sequence[str] = ()) -> None:
+        if self.spark.catalog.tableExists(self._name(table)):
+            self.spark.sql(f"TRUNCATE TABLE {self._name(table)}")
+        self.replace_batch(table, rows, batch_id, feed, match)
