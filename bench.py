@@ -35,7 +35,11 @@ HEADLINE = [
     "linksat_wide_initial",
     "pk_violations",
     "fk_violations",
+    "job_circuits_refresh",
+    "job_constructors_history",
+    "job_drivers_twice",
     "job_races_twice",
+    "job_results",
 ]
 
 
