@@ -182,8 +182,7 @@ def test_stage_refresh_replaces_the_table(spark, tmp_path):
     assert tuples(spark.table("stg_things"), "ID") == [(2,), (3,)]
 
 
-def test_rejects_are_kept(spark, tmp_path, batches):
-    vault = Vault(FolderStore(spark, str(tmp_path)))
+def test_rejects_are_kept(spark, vault, batches):
     staged = things(spark, (None, 1, "lost"), (1, 1, "kept"))
     vault.reject(staged, "things", ["id"], batches[0])
     assert tuples(vault.store.read("REJECTED_THINGS", staged.schema), "id", "name") == [(None, "lost")]

@@ -99,7 +99,7 @@ class Vault:
         schema = spec.schema(staged[0].schema)
         feed = _folder(source)
         if self.refresh:
-            self.store.refresh(spec.name, rows, batch.id, feed, spec.match)
+            self.store.refresh(spec.name, rows, batch.id, feed, spec.spread)
             return LoadResult(spec.name, "refresh")
         known = self.store.exists(spec.name, schema)
         if known:
@@ -109,7 +109,7 @@ class Vault:
                 rows = new_versions(rows, target, spec, row_bound=bound)
             else:
                 rows = new_rows_by_size(rows, target, spec.match, row_bound=bound)
-        self.store.replace_batch(spec.name, rows, batch.id, feed, spec.match)
+        self.store.replace_batch(spec.name, rows, batch.id, feed, spec.spread)
         return LoadResult(spec.name, "incremental" if known else "initial")
 
     def read(self, spec: HubSpec | LinkSpec | SatSpec, staged: DataFrame) -> DataFrame:

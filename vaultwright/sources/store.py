@@ -60,7 +60,7 @@ class FolderStore:
         return self._scan(table, schema).where((batch < batch_id) | ((batch == batch_id) & (F.col(FEED) != feed)))
 
     def replace_batch(
-        self, table: str, rows: DataFrame, batch_id: str, feed: str, match: Sequence[str] = ()
+        self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str] = ()
     ) -> None:
         """Write the rows of one load in place of any earlier try of it."""
         if self.fmt == "delta":
@@ -74,7 +74,7 @@ class FolderStore:
         part = f"{self.path(table)}/{BATCH_ID}={batch_id}/{FEED}={feed}"
         rows.write.format(self.fmt).mode("overwrite").save(part)
 
-    def refresh(self, table: str, rows: DataFrame, batch_id: str, feed: str, match: Sequence[str] = ()) -> None:
+    def refresh(self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str] = ()) -> None:
         """Write the rows of one load in place of the whole table."""
         (
             rows.withColumns({BATCH_ID: F.lit(batch_id), FEED: F.lit(feed)})
@@ -92,10 +92,11 @@ class FolderStore:
 
 
 class BucketedStore(FolderStore):
-    """Catalog tables bucketed by the columns new rows are matched on.
+    """Catalog tables bucketed by hash key, satellites by hash key and hash diff.
 
-    The stored side of every insert-only-new join is then read already partitioned
-    by the join key: only the batch is shuffled, however large the table has grown.
+    The stored side of an insert-only-new join is then read already partitioned by
+    the join key: only the batch is shuffled, however large the table has grown.
+    Tables written without ``spread`` columns stay in plain folders.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int, database: str = "default") -> None:
@@ -107,12 +108,17 @@ class BucketedStore(FolderStore):
         return f"{self.database}.{table}"
 
     def _scan(self, table: str, schema: T.StructType) -> DataFrame:
-        return self.spark.table(self._name(table))
+        if self.spark.catalog.tableExists(self._name(table)):
+            return self.spark.table(self._name(table))
+        return super()._scan(table, schema)
 
     def replace_batch(
-        self, table: str, rows: DataFrame, batch_id: str, feed: str, match: Sequence[str] = ()
+        self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str] = ()
     ) -> None:
-        name, by = self._name(table), list(match) or rows.columns[:1]
+        if not spread:
+            super().replace_batch(table, rows, batch_id, feed)
+            return
+        name, by = self._name(table), list(spread)
         part = f"PARTITION ({BATCH_ID} = '{batch_id}', {FEED} = '{feed}')"
         if self.spark.catalog.tableExists(name):
             self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {part}")
@@ -128,7 +134,7 @@ class BucketedStore(FolderStore):
             rows=rows.repartition(self.buckets, *by),
         )
 
-    def refresh(self, table: str, rows: DataFrame, batch_id: str, feed: str, match: Sequence[str] = ()) -> None:
+    def refresh(self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str] = ()) -> None:
         if self.spark.catalog.tableExists(self._name(table)):
             self.spark.sql(f"TRUNCATE TABLE {self._name(table)}")
-        self.replace_batch(table, rows, batch_id, feed, match)
+        self.replace_batch(table, rows, batch_id, feed, spread)

@@ -120,6 +120,12 @@ class HubSpec:
 
     @property
     def match(self) -> list[str]:
+        """What an incoming row is compared on."""
+        return [self.hk]
+
+    @property
+    def spread(self) -> list[str]:
+        """What stored rows can be bucketed by without a hot bucket."""
         return [self.hk]
 
     def schema(self, staged: T.StructType) -> T.StructType:
@@ -158,6 +164,12 @@ class LinkSpec:
 
     @property
     def match(self) -> list[str]:
+        """What an incoming row is compared on."""
+        return [self.hk]
+
+    @property
+    def spread(self) -> list[str]:
+        """What stored rows can be bucketed by without a hot bucket."""
         return [self.hk]
 
     def schema(self, staged: T.StructType) -> T.StructType:
@@ -205,6 +217,10 @@ class SatSpec:
     def match(self) -> list[str]:
         return [self.hk] if self.policy == "key" else [self.hk, HASH_DIFF]
 
+    @property
+    def spread(self) -> list[str]:
+        return [self.hk, HASH_DIFF]
+
     def schema(self, staged: T.StructType) -> T.StructType:
         return T.StructType([
             T.StructField(self.hk, T.StringType()),
