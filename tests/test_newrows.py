@@ -46,6 +46,14 @@ def test_plain_form_is_an_anti_join(spark, written):
     assert "RightOuter" not in text
 
 
+def test_scans_read_only_the_keys(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    hub = HubSpec("CUSTOMER", "o_custkey")
+    text = plan(build.hub_rows(orders, hub, "x", DAYS[0]))
+    assert "ReadSchema: struct<o_custkey:bigint>" in text
+    assert "PushedFilters: [IsNotNull(o_custkey)]" in text
+
+
 def exchanges(df):
     return [line for line in plan(df).splitlines() if "Exchange" in line and "Broadcast" not in line]
 

@@ -60,6 +60,29 @@ def test_retry_replaces_what_the_first_try_wrote(spark, vault, batches):
     assert hub_keys(vault, empty) == []
 
 
+def test_feed_names_with_any_characters(spark, vault, batches):
+    """Names that would collide as folder names stay apart, also on a retry."""
+    staged = things(spark, (1, 1, "a"))
+    names = ["a b/c.csv", "a_b_c.csv", "it's=100%\\"]
+    for number, name in enumerate([*names, *names]):
+        vault.load_hub([(things(spark, (number % 3, 1, "x")), HUB, name)], batches[0])
+    stored = vault.read(HUB, staged)
+    assert tuples(stored, "THING_BK", "FEED") == [(str(n), name) for n, name in enumerate(names)]
+    with pytest.raises(ValueError):
+        vault.load_hub([(staged, HUB, "")], batches[0])
+
+
+def test_facts_with_few_keys_take_the_broadcast_form(spark, conf, tmp_path, batches):
+    """Many rows with few keys against a larger hub: the keys are counted."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "10KB")
+    vault = Vault(FolderStore(spark, str(tmp_path)))
+    vault.load_hub([(spark.range(3000), HUB, "x.csv")], batches[0])
+    facts = spark.range(2000).selectExpr("2995 + id % 10 AS id")
+    vault.load_hub([(facts, HUB, "y.csv")], batches[1])
+    stored = vault.read(HUB, facts).where("BATCH_ID = '002'")
+    assert tuples(stored, "THING_BK") == [(str(k),) for k in range(3000, 3005)]
+
+
 def test_refresh_replaces_the_whole_table(spark, vault, batches):
     a, b = things(spark, (1, 1, "a"), (2, 1, "b")), things(spark, (2, 1, "b"), (3, 1, "c"))
     vault.load_hub([(a, HUB, "x.csv")], batches[0])

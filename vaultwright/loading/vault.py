@@ -3,7 +3,6 @@ batches stored, written in place of any earlier try of the same batch."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from vaultwright.loading.staging import stage
 from vaultwright.operators.build import copies_of, hub_rows_from_feeds, link_rows, rejected_rows, sat_rows
-from vaultwright.operators.newrows import new_rows_by_size, new_versions
+from vaultwright.operators.newrows import fits_broadcast, new_rows_by_size, new_versions
 from vaultwright.operators.views import create_stage_view
 from vaultwright.sources.store import FolderStore
 from vaultwright.spec import Batch, HubSpec, LinkSpec, SatSpec, StageSpec
@@ -23,10 +22,6 @@ class LoadResult:
     mode: str  # "initial", "incremental" or "refresh"
 
 
-def _folder(name: str) -> str:
-    return re.sub(r"[^A-Za-z0-9_.\-]", "_", name)
-
-
 def _stage_table(spec: StageSpec) -> str:
     return f"STAGE_{spec.name.upper()}"
 
@@ -61,7 +56,7 @@ class Vault:
 
     def reject(self, staged: DataFrame, name: str, keys: Sequence[str], batch: Batch) -> None:
         """Keep the rows that no hub can take, those without a business key."""
-        self.store.replace_batch(f"REJECTED_{name.upper()}", rejected_rows(staged, keys), batch.id, _folder(name))
+        self.store.replace_batch(f"REJECTED_{name.upper()}", rejected_rows(staged, keys), batch.id, name)
 
     def load_hub(
         self, feeds: Sequence[tuple[DataFrame, HubSpec, str]], batch: Batch, row_bound: int | None = None
@@ -92,12 +87,13 @@ class Vault:
         spec: HubSpec | LinkSpec | SatSpec,
         rows: DataFrame,
         staged: Sequence[DataFrame],
-        source: str,
+        feed: str,
         batch: Batch,
         row_bound: int | None,
     ) -> LoadResult:
+        if not feed:
+            raise ValueError("a load needs the name of its source")
         schema = spec.schema(staged[0].schema)
-        feed = _folder(source)
         if self.refresh:
             self.store.refresh(spec.name, rows, batch.id, feed, spec.spread)
             return LoadResult(spec.name, "refresh")
@@ -108,6 +104,10 @@ class Vault:
             if isinstance(spec, SatSpec):
                 rows = new_versions(rows, target, spec, row_bound=bound)
             else:
+                if not fits_broadcast(rows, bound, spec.match) and target.count() > bound:
+                    # Facts repeat keys: counting the distinct ones is cheaper than
+                    # shuffling a table larger than all of the batch.
+                    bound = rows.select(*spec.match).count()
                 rows = new_rows_by_size(rows, target, spec.match, row_bound=bound)
         self.store.replace_batch(spec.name, rows, batch.id, feed, spec.spread)
         return LoadResult(spec.name, "incremental" if known else "initial")

@@ -76,6 +76,10 @@ def broadcast_limit(df: DataFrame) -> int:
     return max(0, int(digits.rstrip("kmg")) * scale)
 
 
+def fits_broadcast(df: DataFrame, row_bound: int, on: Sequence[str]) -> bool:
+    return row_bound * KEY_BYTES * len(on) <= broadcast_limit(df)
+
+
 def new_rows_by_size(
     batch: DataFrame,
     target: DataFrame,
@@ -90,7 +94,7 @@ def new_rows_by_size(
     ``row_bound`` is a counted upper bound of the batch rows, such as the row count
     of its stage table, which parquet answers from file footers.
     """
-    if row_bound * KEY_BYTES * len(on) <= broadcast_limit(batch):
+    if fits_broadcast(batch, row_bound, on):
         return new_rows_small_batch(batch, target, on, null_safe=null_safe)
     return new_rows(batch, target, on, target_unique=target_unique, null_safe=null_safe)
 

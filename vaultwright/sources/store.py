@@ -8,6 +8,7 @@ prunes the scan to those.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,11 @@ def _stored(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, *[T.StructField(c, T.StringType()) for c in (BATCH_ID, FEED)]])
 
 
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 class FolderStore:
     """Tables below a root folder, in one format (parquet, or delta where installed)."""
 
@@ -67,11 +73,12 @@ class FolderStore:
             (
                 rows.withColumns({BATCH_ID: F.lit(batch_id), FEED: F.lit(feed)})
                 .write.format("delta").mode("overwrite").partitionBy(BATCH_ID, FEED)
-                .option("replaceWhere", f"{BATCH_ID} = '{batch_id}' AND {FEED} = '{feed}'")
+                .option("replaceWhere", f"{BATCH_ID} = {_literal(batch_id)} AND {FEED} = {_literal(feed)}")
                 .save(self.path(table))
             )
             return
-        part = f"{self.path(table)}/{BATCH_ID}={batch_id}/{FEED}={feed}"
+        # Spark reads percent-escaped partition folders back as plain text.
+        part = f"{self.path(table)}/{BATCH_ID}={quote(batch_id, safe='')}/{FEED}={quote(feed, safe='')}"
         rows.write.format(self.fmt).mode("overwrite").save(part)
 
     def refresh(self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str] = ()) -> None:
@@ -119,7 +126,7 @@ class BucketedStore(FolderStore):
             super().replace_batch(table, rows, batch_id, feed)
             return
         name, by = self._name(table), list(spread)
-        part = f"PARTITION ({BATCH_ID} = '{batch_id}', {FEED} = '{feed}')"
+        part = f"PARTITION ({BATCH_ID} = {_literal(batch_id)}, {FEED} = {_literal(feed)})"
         if self.spark.catalog.tableExists(name):
             self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {part}")
         else:
