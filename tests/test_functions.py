@@ -69,17 +69,25 @@ def test_timestamp_text_does_not_depend_on_zone(spark, conf):
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_parsing_yields_null_for_bad_text(spark, conf, ansi):
     conf("spark.sql.ansi.enabled", ansi)
-    rows = [("1985-11-27",), ("\\N",), ("",), ("2021-02-30",), (None,)]
-    df = spark.createDataFrame(rows, "d string")
+    texts = ["1985-11-27", "\\N", "", "2021-02-30", None, "1985-11", "1985-1-2", "1985-11-27T00:00:00", "x1985-11-27"]
+    df = spark.createDataFrame([(t,) for t in texts], "d string")
     parsed = [r[0] for r in df.select(V.parse_date(F.col("d"))).collect()]
-    assert parsed == [date(1985, 11, 27), None, None, None, None]
+    assert parsed == [date(1985, 11, 27)] + [None] * 8
 
 
-def test_date_and_time(spark):
-    df = spark.createDataFrame([("1950-05-13", "\\N"), ("2009-03-29", "06:00:00")], "d string, t string")
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_date_and_time(spark, conf, zone):
+    """Half past two on 10 March 2024 does not exist in New York, but is valid text."""
+    conf("spark.sql.session.timeZone", zone)
+    rows = [
+        ("1950-05-13", "\\N"), ("2009-03-29", "06:00:00"), ("2024-03-10", "02:30:00"), ("2009-03-29", "25:00:00"),
+        ("2009-03-29", "06:00"), (None, "06:00:00"),
+    ]
+    df = spark.createDataFrame(rows, "d string, t string")
     df = df.select(V.parse_datetime(F.col("d"), F.col("t")).alias("x"))
     assert df.dtypes == [("x", "timestamp_ntz")]
-    assert [r[0] for r in df.collect()] == [None, datetime(2009, 3, 29, 6)]
+    expected = [None, datetime(2009, 3, 29, 6), datetime(2024, 3, 10, 2, 30), None, None, None]
+    assert [r[0] for r in df.collect()] == expected
 
 
 def test_unknown_hash_rule_is_refused():
