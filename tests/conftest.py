@@ -23,6 +23,7 @@ def spark(tmp_path_factory):
         spark__driver__memory="4g",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
+        spark__sql__maxMetadataStringLength="2000",
         spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -93,11 +93,6 @@ def test_copies_change_the_work_not_the_rows(spark):
     repeated = spark.createDataFrame(
         [(1, "a"), (1, "a"), (1, ""), (1, None), (2, "b"), (2, "b")], "id int, name string"
     )
-    assert build.copies_of(unique, spec) == "none"
-    assert build.copies_of(repeated, spec) == "many"
-    assert build.copies_of(unique.union(unique.where("id = 1")), spec) == "few"
-    assert build.copies_of(unique.limit(0), spec) == "none"
-
     def rows(staged, copies):
         return build.sat_rows(staged, spec, "x", TS, copies=copies)
 
@@ -107,6 +102,29 @@ def test_copies_change_the_work_not_the_rows(spark):
     assert tuples(rows(repeated, "few"), "name") == [("a",), ("b",), (None,)]
 
 
+def test_only_rows_of_repeated_parents_are_grouped(spark, conf):
+    spec = SatSpec("SAT", HUB, ("name",))
+    unique = spark.range(40).selectExpr("cast(id as int) AS id", "cast(id % 4 as string) AS name")
+    few = unique.unionByName(spark.createDataFrame(
+        [(1, "1"), (1, "v2"), (2, ""), (2, None), (None, "lost"), (None, "lost")], "id int, name string"
+    ))
+    many = few.unionByName(few).unionByName(few)
+
+    def by_count(staged):
+        return build.sat_rows_by_count(staged, spec, "x", TS)
+
+    assert "Exchange" not in plan(by_count(unique))
+    assert by_count(unique.limit(0)).count() == 0
+    apart, grouped, combined = plan(by_count(few)), plan(build.sat_rows(few, spec, "x", TS)), plan(by_count(many))
+    assert "Union" in apart and "LeftAnti" in apart and "LeftSemi" in apart
+    assert "LeftSemi" not in combined
+    for staged in (unique, few, many):
+        assert tuples(by_count(staged)) == tuples(build.sat_rows(staged, spec, "x", TS))
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert "LeftSemi" in apart and plan(by_count(few)).count("Exchange") == grouped.count("Exchange")
+    assert tuples(by_count(few)) == tuples(build.sat_rows(few, spec, "x", TS))
+
+
 def test_many_copies_are_combined_before_hashing(spark):
     spec = SatSpec("SAT", LINK, ("name", "a"))  # a key can be an attribute as well
     staged = spark.createDataFrame([(1, 2, "x")] * 3, "a int, b int, name string")

@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 from conftest import plan, tuples
 
-from vaultwright.operators import build, newrows
+from vaultwright.operators import build, joins, newrows
 from vaultwright.spec import PASS_NULLS, HubSpec, SatSpec
 
 HUB = HubSpec("THING", "id")
@@ -88,7 +88,7 @@ def test_form_is_chosen_by_counted_size(spark, conf, written):
 )
 def test_broadcast_limit_reads_spark_sizes(spark, conf, setting, expected):
     conf("spark.sql.autoBroadcastJoinThreshold", setting)
-    assert newrows.broadcast_limit(spark.range(1)) == expected
+    assert joins.broadcast_limit(spark.range(1)) == expected
 
 
 def test_changed_row_by_key_and_by_hash_diff(spark):

@@ -9,8 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from vaultwright.loading.staging import stage
-from vaultwright.operators.build import copies_of, hub_rows_from_feeds, link_rows, rejected_rows, sat_rows
-from vaultwright.operators.newrows import fits_broadcast, new_rows_by_size, new_versions
+from vaultwright.operators.build import hub_rows_from_feeds, link_rows, rejected_rows, sat_rows_by_count
+from vaultwright.operators.joins import fits_broadcast
+from vaultwright.operators.newrows import new_rows_by_size, new_versions
 from vaultwright.operators.views import create_stage_view
 from vaultwright.sources.store import FolderStore
 from vaultwright.spec import Batch, HubSpec, LinkSpec, SatSpec, StageSpec
@@ -79,7 +80,7 @@ class Vault:
         self, staged: DataFrame, spec: SatSpec, source: str, batch: Batch, row_bound: int | None = None
     ) -> LoadResult:
         """Load a satellite or link satellite."""
-        rows = sat_rows(staged, spec, source, batch.ts, copies=copies_of(staged, spec))
+        rows = sat_rows_by_count(staged, spec, source, batch.ts)
         return self._load(spec, rows, [staged], source, batch, row_bound)
 
     def _load(

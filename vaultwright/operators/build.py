@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from vaultwright.functions.audit import load_date, record_source
 from vaultwright.functions.hashing import hash_diff, hash_key, link_key
 from vaultwright.operators.audit import with_audit
+from vaultwright.operators.joins import equal, fits_broadcast, renamed
 from vaultwright.spec import HASH_DIFF, LOAD_DATE, RECORD_SOURCE, HubSpec, LinkSpec, SatSpec
 
 
@@ -105,11 +106,28 @@ def sat_rows(
     return with_audit(versions, source, ts).select(*spec.columns)
 
 
-def copies_of(staged: DataFrame, spec: SatSpec) -> str:
-    """How the parents repeat in the staged rows, counted over the key columns alone:
-    a narrow shuffle that decides over the wide one."""
-    counts = staged.groupBy(*spec.parent_keys).agg(F.count("*").alias("n"))
-    row = counts.agg(F.count("*").alias("parents"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
-    if row["rows"] == row["parents"]:
-        return "none"
-    return "many" if row["rows"] >= 2 * row["parents"] else "few"
+def sat_rows_by_count(staged: DataFrame, spec: SatSpec, source: str, ts: datetime) -> DataFrame:
+    """Satellite rows with as little work as the parents' repetition allows.
+
+    The parent keys are counted first, a narrow shuffle that decides over the wide
+    one. If only a few parents repeat, and their keys fit a broadcast, the rows of
+    all others stay where they are and only the repeated ones are grouped.
+    """
+    keys = spec.parent_keys
+    counts = staged.where(_all_present(keys)).groupBy(*keys).agg(F.count("*").alias("n"))
+    repeated = F.col("n") > 1
+    total = counts.agg(
+        F.count("*").alias("parents"),
+        F.count_if(repeated).alias("repeated"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(repeated, F.col("n"))), F.lit(0)).alias("repeated_rows"),
+    ).first()
+    if not total["repeated"]:
+        return sat_rows(staged, spec, source, ts, copies="none")
+    if 2 * total["repeated_rows"] <= total["rows"] and fits_broadcast(staged, total["repeated"], keys):
+        again = renamed(counts.where(repeated), keys, "again_")
+        once = staged.join(F.broadcast(again), equal("", "again_", keys), "left_anti")
+        more = staged.join(F.broadcast(again), equal("", "again_", keys), "left_semi")
+        return sat_rows(once, spec, source, ts, copies="none").unionByName(sat_rows(more, spec, source, ts))
+    copies = "many" if total["rows"] >= 2 * total["parents"] else "few"
+    return sat_rows(staged, spec, source, ts, copies=copies)

@@ -3,31 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultwright.operators.joins import equal, fits_broadcast, renamed
 from vaultwright.spec import HASH_DIFF, LOAD_DATE, SatSpec
 
-# Upper bound of one hash key in a broadcast relation: 32 characters, row header
-# and hash map entry.
-KEY_BYTES = 128
-
-
-def _renamed(df: DataFrame, on: Sequence[str], side: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(side + c) for c in on])
-
-
-def _equal(left: str, right: str, on: Sequence[str], null_safe: Sequence[str] = ()) -> Column:
-    return reduce(
-        lambda a, b: a & b,
-        [
-            F.col(left + c).eqNullSafe(F.col(right + c)) if c in null_safe else F.col(left + c) == F.col(right + c)
-            for c in on
-        ],
-    )
-
 
 def new_rows(
     batch: DataFrame,
@@ -47,10 +29,10 @@ def new_rows(
     are made unique first. That uses the shuffle the join needs anyway, combines
     on the map side, and no busy key lands on one join task.
     """
-    held = _renamed(target, on, "held_")
+    held = renamed(target, on, "held_")
     if not target_unique:
         held = held.distinct()
-    return batch.join(held, _equal("", "held_", on, null_safe), "left_anti")
+    return batch.join(held, equal("", "held_", on, null_safe), "left_anti")
 
 
 def new_rows_small_batch(
@@ -62,22 +44,10 @@ def new_rows_small_batch(
     broadcast holds the matched keys, at most as many as the batch has. Callers
     check the size: see ``new_rows_by_size``.
     """
-    wanted = _renamed(batch, on, "wanted_")
-    held = _renamed(target, on, "held_")
-    hits = held.join(F.broadcast(wanted), _equal("held_", "wanted_", on, null_safe), "left_semi").distinct()
-    return batch.join(F.broadcast(hits), _equal("", "held_", on, null_safe), "left_anti")
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """Spark's own broadcast threshold in bytes; 0 when broadcasting is off."""
-    setting = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    digits = setting.lower().rstrip("b")
-    scale = {"k": 2**10, "m": 2**20, "g": 2**30}.get(digits[-1:], 1)
-    return max(0, int(digits.rstrip("kmg")) * scale)
-
-
-def fits_broadcast(df: DataFrame, row_bound: int, on: Sequence[str]) -> bool:
-    return row_bound * KEY_BYTES * len(on) <= broadcast_limit(df)
+    wanted = renamed(batch, on, "wanted_")
+    held = renamed(target, on, "held_")
+    hits = held.join(F.broadcast(wanted), equal("held_", "wanted_", on, null_safe), "left_semi").distinct()
+    return batch.join(F.broadcast(hits), equal("", "held_", on, null_safe), "left_anti")
 
 
 def new_rows_by_size(
@@ -128,14 +98,14 @@ def changed_since_latest(
     """
     version = [hk, HASH_DIFF]
     seen = (
-        _renamed(target, [*version, LOAD_DATE], "seen_")
+        renamed(target, [*version, LOAD_DATE], "seen_")
         .groupBy(*["seen_" + c for c in version])
         .agg(F.max("seen_" + LOAD_DATE).alias("seen"))
     )
-    last = _renamed(target, [hk, LOAD_DATE], "last_").groupBy("last_" + hk).agg(F.max("last_" + LOAD_DATE).alias("last"))
+    last = renamed(target, [hk, LOAD_DATE], "last_").groupBy("last_" + hk).agg(F.max("last_" + LOAD_DATE).alias("last"))
     return (
-        rows.join(seen, _equal("", "seen_", version, null_safe), "left")
-        .join(last, _equal("", "last_", [hk]), "left")
+        rows.join(seen, equal("", "seen_", version, null_safe), "left")
+        .join(last, equal("", "last_", [hk]), "left")
         .where(F.col("seen").isNull() | (F.col("seen") < F.col("last")))
         .select(*rows.columns)
     )

@@ -128,9 +128,7 @@ def linksat_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM lineitem
 """)
 def linksat_wide_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem")
-    copies = build.copies_of(items, SAT_LNK_ITEM)
-    return build.sat_rows(items, SAT_LNK_ITEM, "lineitem.csv", FIRST.ts, copies=copies)
+    return build.sat_rows_by_count(table(spark, sf_dir, "lineitem"), SAT_LNK_ITEM, "lineitem.csv", FIRST.ts)
 
 
 HUB_PRIORITY = HubSpec("PRIORITY", "code")
