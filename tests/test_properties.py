@@ -45,7 +45,7 @@ def model(batches, history):
 
 @pytest.mark.parametrize(
     "seed, history, threshold",
-    [(1, "any", "10MB"), (1, "latest", "-1"), (2, "any", "-1"), (2, "latest", "10MB")],
+    [(1, "any", "10MB"), (1, "latest", "-1"), (2, "any", "-1"), (2, "latest", "10MB"), (3, "any", "2KB")],
 )
 def test_satellite_and_hub_follow_the_model(spark, conf, tmp_path, seed, history, threshold):
     conf("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -13,7 +13,7 @@ from vaultwright.operators.report import inventory
 from vaultwright.session import scratch_path, shared_folder
 from vaultwright.sources.csv import read_csv
 from vaultwright.sources.store import BucketedStore, FolderStore
-from vaultwright.spec import INT, REAL, TEXT, Batch, HubSpec, LinkSpec, SatSpec, StageSpec, columns
+from vaultwright.spec import INT, PASS_NULLS, REAL, STANDARD, TEXT, Batch, HubSpec, LinkSpec, SatSpec, StageSpec, columns
 
 HUB = HubSpec("THING", "id")
 LINK = LinkSpec("PAIR", {"THING": "id", "OTHER": "other"})
@@ -83,6 +83,29 @@ def test_facts_with_few_keys_take_the_broadcast_form(spark, conf, tmp_path, batc
     assert tuples(stored, "THING_BK") == [(str(k),) for k in range(3000, 3005)]
 
 
+@pytest.mark.parametrize("policy", ["hash_diff", "key"])
+@pytest.mark.parametrize("rule", [STANDARD, PASS_NULLS])
+@pytest.mark.parametrize("threshold", ["10MB", "20KB", "-1"])
+def test_every_way_to_find_new_versions_agrees(spark, conf, tmp_path, batches, policy, rule, threshold):
+    """All broadcast, only the new versions broadcast, and nothing broadcast."""
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    vault = Vault(FolderStore(spark, str(tmp_path)))
+    spec = SatSpec("SAT", HUB, ("name",), rule=rule, policy=policy)
+    first = spark.range(200).selectExpr("cast(id as int) AS id", "if(id = 5, null, 'a') AS name")
+    second = spark.range(210).selectExpr(
+        "cast(id as int) AS id", "CASE WHEN id IN (5, 207) THEN null WHEN id = 9 THEN 'b' ELSE 'a' END AS name"
+    )
+    second = second.unionByName(second.where("id IN (9, 208)"))
+    vault.load_satellite(first, spec, "x", batches[0])
+    vault.load_satellite(second, spec, "x", batches[1])
+    stored = vault.read(spec, first)
+    assert stored.where("BATCH_ID = '001'").count() == 200
+    expected = [("a",)] * 9 + [(None,)]
+    if policy == "hash_diff":
+        expected = [("a",)] * 9 + [("b",), (None,)]
+    assert tuples(stored.where("BATCH_ID = '002'"), "name") == expected
+
+
 def test_refresh_replaces_the_whole_table(spark, vault, batches):
     a, b = things(spark, (1, 1, "a"), (2, 1, "b")), things(spark, (2, 1, "b"), (3, 1, "c"))
     vault.load_hub([(a, HUB, "x.csv")], batches[0])

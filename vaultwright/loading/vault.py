@@ -3,16 +3,21 @@ batches stored, written in place of any earlier try of the same batch."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vaultwright.loading.staging import stage
-from vaultwright.operators.build import hub_rows_from_feeds, link_rows, rejected_rows, sat_rows_by_count
+from vaultwright.operators.build import (
+    finish_sat_rows, hub_rows_from_feeds, link_rows, one_per_version, rejected_rows, sat_hashes, sat_rows_by_count,
+)
 from vaultwright.operators.joins import fits_broadcast
-from vaultwright.operators.newrows import new_rows_by_size, new_versions
+from vaultwright.operators.newrows import new_rows_by_size, new_versions, rows_among
 from vaultwright.operators.views import create_stage_view
+from vaultwright.session import scratch_path
 from vaultwright.sources.store import FolderStore
 from vaultwright.spec import Batch, HubSpec, LinkSpec, SatSpec, StageSpec
 
@@ -23,6 +28,14 @@ class LoadResult:
     mode: str  # "initial", "incremental" or "refresh"
 
 
+def _new_keys(rows: DataFrame, target: DataFrame, on: Sequence[str], row_bound: int) -> DataFrame:
+    if not fits_broadcast(rows, row_bound, on) and target.count() > row_bound:
+        # Facts repeat keys: counting the distinct ones is cheaper than shuffling a
+        # table larger than all of the batch.
+        row_bound = rows.select(*on).count()
+    return new_rows_by_size(rows, target, on, row_bound=row_bound)
+
+
 def _stage_table(spec: StageSpec) -> str:
     return f"STAGE_{spec.name.upper()}"
 
@@ -67,26 +80,27 @@ class Vault:
         ``row_bound``, here and below, is the row count of the staged frames where
         the caller has it already.
         """
-        rows = hub_rows_from_feeds(feeds, batch.ts)
         feed = "+".join(source for _, _, source in feeds)
-        return self._load(feeds[0][1], rows, [staged for staged, _, _ in feeds], feed, batch, row_bound)
+        build = partial(hub_rows_from_feeds, feeds, batch.ts)
+        return self._load(feeds[0][1], build, [staged for staged, _, _ in feeds], feed, batch, row_bound)
 
     def load_link(
         self, staged: DataFrame, spec: LinkSpec, source: str, batch: Batch, row_bound: int | None = None
     ) -> LoadResult:
-        return self._load(spec, link_rows(staged, spec, source, batch.ts), [staged], source, batch, row_bound)
+        build = partial(link_rows, staged, spec, source, batch.ts)
+        return self._load(spec, build, [staged], source, batch, row_bound)
 
     def load_satellite(
         self, staged: DataFrame, spec: SatSpec, source: str, batch: Batch, row_bound: int | None = None
     ) -> LoadResult:
         """Load a satellite or link satellite."""
-        rows = sat_rows_by_count(staged, spec, source, batch.ts)
-        return self._load(spec, rows, [staged], source, batch, row_bound)
+        build = partial(sat_rows_by_count, staged, spec, source, batch.ts)
+        return self._load(spec, build, [staged], source, batch, row_bound)
 
     def _load(
         self,
         spec: HubSpec | LinkSpec | SatSpec,
-        rows: DataFrame,
+        build: Callable[..., DataFrame],
         staged: Sequence[DataFrame],
         feed: str,
         batch: Batch,
@@ -96,22 +110,47 @@ class Vault:
             raise ValueError("a load needs the name of its source")
         schema = spec.schema(staged[0].schema)
         if self.refresh:
-            self.store.refresh(spec.name, rows, batch.id, feed, spec.spread)
+            self.store.refresh(spec.name, build(), batch.id, feed, spec.spread)
             return LoadResult(spec.name, "refresh")
-        known = self.store.exists(spec.name, schema)
-        if known:
-            target = self.store.read_others(spec.name, schema, batch.id, feed)
-            bound = sum(df.count() for df in staged) if row_bound is None else row_bound
-            if isinstance(spec, SatSpec):
-                rows = new_versions(rows, target, spec, row_bound=bound)
-            else:
-                if not fits_broadcast(rows, bound, spec.match) and target.count() > bound:
-                    # Facts repeat keys: counting the distinct ones is cheaper than
-                    # shuffling a table larger than all of the batch.
-                    bound = rows.select(*spec.match).count()
-                rows = new_rows_by_size(rows, target, spec.match, row_bound=bound)
+        if not self.store.exists(spec.name, schema):
+            self.store.replace_batch(spec.name, build(), batch.id, feed, spec.spread)
+            return LoadResult(spec.name, "initial")
+        target = self.store.read_others(spec.name, schema, batch.id, feed)
+        bound = sum(df.count() for df in staged) if row_bound is None else row_bound
+        if isinstance(spec, SatSpec):
+            rows = self._new_versions(spec, build, staged[0], target, feed, batch, bound)
+        else:
+            rows = build(keep=partial(_new_keys, target=target, on=spec.match, row_bound=bound))
         self.store.replace_batch(spec.name, rows, batch.id, feed, spec.spread)
-        return LoadResult(spec.name, "incremental" if known else "initial")
+        return LoadResult(spec.name, "incremental")
+
+    def _new_versions(
+        self,
+        spec: SatSpec,
+        build: Callable[..., DataFrame],
+        staged: DataFrame,
+        target: DataFrame,
+        source: str,
+        batch: Batch,
+        row_bound: int,
+    ) -> DataFrame:
+        """Rows of the versions to insert.
+
+        A large batch first finds them by hash key and hash diff alone and writes
+        those down. Mostly a batch repeats what is stored: the few new versions then
+        fit a broadcast, and the wide rows are filtered where they lie. Only what
+        remains is grouped.
+        """
+        if fits_broadcast(staged, row_bound, spec.match):
+            return build(keep=partial(new_versions, target=target, spec=spec, row_bound=row_bound))
+        spark, path = staged.sparkSession, scratch_path(staged.sparkSession, "versions")
+        hashes = sat_hashes(staged, spec)
+        new_versions(hashes.select(*spec.match).distinct(), target, spec).write.parquet(path)
+        fresh = spark.read.parquet(path)
+        if fits_broadcast(staged, fresh.count(), spec.match):
+            rows = one_per_version(rows_among(hashes, F.broadcast(fresh), spec), spec)
+            return finish_sat_rows(rows, spec, source, batch.ts)
+        return build(keep=partial(rows_among, fresh=fresh, spec=spec))
 
     def read(self, spec: HubSpec | LinkSpec | SatSpec, staged: DataFrame) -> DataFrame:
         return self.store.read(spec.name, spec.schema(staged.schema))

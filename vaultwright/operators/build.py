@@ -5,11 +5,15 @@ the short raw keys, Spark combines copies on the map side, so a key that fills a
 third of the batch arrives once per map task, and MD5 runs once per key instead
 of once per row. Rows with a NULL business key have no hash key; they are left
 out here and reported by ``rejected_rows``.
+
+``keep`` filters rows by what they are matched on, as insert-only-new does. It runs
+before the columns that follow from others are added, so its joins do not carry
+them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -22,6 +26,12 @@ from vaultwright.operators.audit import with_audit
 from vaultwright.operators.joins import equal, fits_broadcast, renamed
 from vaultwright.spec import HASH_DIFF, LOAD_DATE, RECORD_SOURCE, HubSpec, LinkSpec, SatSpec
 
+RowFilter = Callable[[DataFrame], DataFrame]
+
+
+def keep_all(rows: DataFrame) -> DataFrame:
+    return rows
+
 
 def _all_present(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -32,14 +42,17 @@ def rejected_rows(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     return staged.where(~_all_present(keys))
 
 
-def hub_rows(staged: DataFrame, spec: HubSpec, source: str, ts: datetime) -> DataFrame:
-    keys = staged.where(_all_present([spec.key])).select(spec.key).distinct()
-    hashed = keys.select(hash_key(spec.key).alias(spec.hk), F.col(spec.key).cast("string").alias(spec.bk))
-    return with_audit(hashed, source, ts).select(*spec.columns)
+def hub_rows(
+    staged: DataFrame, spec: HubSpec, source: str, ts: datetime, *, keep: RowFilter = keep_all
+) -> DataFrame:
+    keys = staged.where(_all_present([spec.key])).select(F.col(spec.key).alias("key")).distinct()
+    rows = keep(keys.select(hash_key("key").alias(spec.hk), "key"))
+    named = rows.select(spec.hk, F.col("key").cast("string").alias(spec.bk))
+    return with_audit(named, source, ts).select(*spec.columns)
 
 
 def hub_rows_from_feeds(
-    feeds: Sequence[tuple[DataFrame, HubSpec, str]], ts: datetime
+    feeds: Sequence[tuple[DataFrame, HubSpec, str]], ts: datetime, *, keep: RowFilter = keep_all
 ) -> DataFrame:
     """One hub fed by several staged sources, given in order of precedence.
 
@@ -56,63 +69,56 @@ def hub_rows_from_feeds(
 
     keys = reduce(DataFrame.unionByName, map(ranked, range(len(feeds))))
     first = keys.groupBy("key").agg(F.min("feed").alias("feed"))
+    rows = keep(first.select(hash_key("key").alias(hub.hk), "key", "feed"))
     sources = F.array(*[record_source(source) for _, _, source in feeds])
-    return first.select(
-        hash_key("key").alias(hub.hk),
+    return rows.select(
+        hub.hk,
         F.col("key").cast("string").alias(hub.bk),
         F.get(sources, F.col("feed")).alias(RECORD_SOURCE),
         load_date(ts).alias(LOAD_DATE),
     )
 
 
-def link_rows(staged: DataFrame, spec: LinkSpec, source: str, ts: datetime) -> DataFrame:
+def link_rows(
+    staged: DataFrame, spec: LinkSpec, source: str, ts: datetime, *, keep: RowFilter = keep_all
+) -> DataFrame:
     keys = staged.where(_all_present(spec.keys)).select(*spec.keys).distinct()
-    hashed = keys.select(
-        *[hash_key(key).alias(f"{entity}_HK") for entity, key in spec.refs.items()],
-        link_key(keys, spec.keys, spec.rule).alias(spec.hk),
-    )
+    rows = keep(keys.select(link_key(keys, spec.keys, spec.rule).alias(spec.hk), *spec.keys))
+    hashed = rows.select(*[hash_key(key).alias(f"{entity}_HK") for entity, key in spec.refs.items()], spec.hk)
     return with_audit(hashed, source, ts).select(*spec.columns)
 
 
-def sat_rows(
-    staged: DataFrame, spec: SatSpec, source: str, ts: datetime, *, copies: str = "few"
-) -> DataFrame:
-    """Satellite rows, one per parent and hash diff.
-
-    The hash diff is part of the grouping key, so the versions of one busy parent
-    spread over all tasks. ``copies`` tells how the staged rows repeat, and only
-    changes the work, not the result, as long as it is true:
-
-    none  one row per parent, so nothing is grouped and nothing shuffled
-    few   rows are grouped once
-    many  equal rows are combined before anything is hashed or sorted
-    """
+def sat_hashes(staged: DataFrame, spec: SatSpec) -> DataFrame:
+    """Parent hash key, hash diff and attributes of every staged row with a parent."""
     keys = spec.parent_keys
     present = staged.where(_all_present(keys))
-    if copies == "many":
-        present = present.select(*dict.fromkeys([*keys, *spec.attributes])).distinct()
     parent = hash_key(keys[0]) if isinstance(spec.parent, HubSpec) else link_key(present, keys, spec.parent.rule)
     keyed = present.select(parent.alias(spec.hk), *[F.col(c) for c in spec.attributes])
     hashed = [*spec.attributes, spec.hk] if spec.hash_parent else list(spec.attributes)
-    versions = keyed.withColumn(HASH_DIFF, hash_diff(keyed, hashed, spec.rule))
-    if copies != "none":
-        # Equal hash diffs can stand for unequal values (NULL and empty text):
-        # the smallest row is kept, whatever order the rows arrive in.
-        versions = (
-            versions.groupBy(spec.hk, HASH_DIFF)
-            .agg(F.min(F.struct(*spec.attributes)).alias("row"))
-            .select(spec.hk, HASH_DIFF, "row.*")
-        )
-    return with_audit(versions, source, ts).select(*spec.columns)
+    return keyed.withColumn(HASH_DIFF, hash_diff(keyed, hashed, spec.rule))
 
 
-def sat_rows_by_count(staged: DataFrame, spec: SatSpec, source: str, ts: datetime) -> DataFrame:
-    """Satellite rows with as little work as the parents' repetition allows.
+def one_per_version(hashes: DataFrame, spec: SatSpec) -> DataFrame:
+    """One row per parent and hash diff.
 
-    The parent keys are counted first, a narrow shuffle that decides over the wide
-    one. If only a few parents repeat, and their keys fit a broadcast, the rows of
-    all others stay where they are and only the repeated ones are grouped.
+    The hash diff is part of the grouping key, so the versions of one busy parent
+    spread over all tasks. Equal hash diffs can stand for unequal values (NULL and
+    empty text): the smallest row is kept, whatever order the rows arrive in.
     """
+    smallest = F.min(F.struct(*spec.attributes)).alias("row")
+    return hashes.groupBy(spec.hk, HASH_DIFF).agg(smallest).select(spec.hk, HASH_DIFF, "row.*")
+
+
+def _versions(staged: DataFrame, spec: SatSpec, copies: str) -> DataFrame:
+    if copies == "none":
+        return sat_hashes(staged, spec)
+    if copies == "many":
+        used = dict.fromkeys([*spec.parent_keys, *spec.attributes])
+        staged = staged.where(_all_present(spec.parent_keys)).select(*used).distinct()
+    return one_per_version(sat_hashes(staged, spec), spec)
+
+
+def _versions_by_count(staged: DataFrame, spec: SatSpec) -> DataFrame:
     keys = spec.parent_keys
     counts = staged.where(_all_present(keys)).groupBy(*keys).agg(F.count("*").alias("n"))
     repeated = F.col("n") > 1
@@ -123,11 +129,47 @@ def sat_rows_by_count(staged: DataFrame, spec: SatSpec, source: str, ts: datetim
         F.coalesce(F.sum(F.when(repeated, F.col("n"))), F.lit(0)).alias("repeated_rows"),
     ).first()
     if not total["repeated"]:
-        return sat_rows(staged, spec, source, ts, copies="none")
+        return _versions(staged, spec, "none")
     if 2 * total["repeated_rows"] <= total["rows"] and fits_broadcast(staged, total["repeated"], keys):
         again = renamed(counts.where(repeated), keys, "again_")
         once = staged.join(F.broadcast(again), equal("", "again_", keys), "left_anti")
         more = staged.join(F.broadcast(again), equal("", "again_", keys), "left_semi")
-        return sat_rows(once, spec, source, ts, copies="none").unionByName(sat_rows(more, spec, source, ts))
-    copies = "many" if total["rows"] >= 2 * total["parents"] else "few"
-    return sat_rows(staged, spec, source, ts, copies=copies)
+        return _versions(once, spec, "none").unionByName(_versions(more, spec, "few"))
+    return _versions(staged, spec, "many" if total["rows"] >= 2 * total["parents"] else "few")
+
+
+def finish_sat_rows(versions: DataFrame, spec: SatSpec, source: str, ts: datetime) -> DataFrame:
+    return with_audit(versions, source, ts).select(*spec.columns)
+
+
+def sat_rows(
+    staged: DataFrame,
+    spec: SatSpec,
+    source: str,
+    ts: datetime,
+    *,
+    copies: str = "few",
+    keep: RowFilter = keep_all,
+) -> DataFrame:
+    """Satellite rows, one per parent and hash diff.
+
+    ``copies`` tells how the staged rows repeat, and only changes the work, not the
+    result, as long as it is true:
+
+    none  one row per parent, so nothing is grouped and nothing shuffled
+    few   rows are grouped once
+    many  equal rows are combined before anything is hashed or sorted
+    """
+    return finish_sat_rows(keep(_versions(staged, spec, copies)), spec, source, ts)
+
+
+def sat_rows_by_count(
+    staged: DataFrame, spec: SatSpec, source: str, ts: datetime, *, keep: RowFilter = keep_all
+) -> DataFrame:
+    """Satellite rows with as little work as the parents' repetition allows.
+
+    The parent keys are counted first, a narrow shuffle that decides over the wide
+    one. If only a few parents repeat, and their keys fit a broadcast, the rows of
+    all others stay where they are and only the repeated ones are grouped.
+    """
+    return finish_sat_rows(keep(_versions_by_count(staged, spec)), spec, source, ts)

@@ -69,6 +69,11 @@ def new_rows_by_size(
     return new_rows(batch, target, on, target_unique=target_unique, null_safe=null_safe)
 
 
+def _null_safe(spec: SatSpec) -> tuple[str, ...]:
+    """Only the null-passing rule yields NULL hash diffs."""
+    return (HASH_DIFF,) if spec.rule.nulls == "propagate" else ()
+
+
 def new_versions(
     rows: DataFrame, target: DataFrame, spec: SatSpec, *, row_bound: int | None = None
 ) -> DataFrame:
@@ -76,8 +81,7 @@ def new_versions(
 
     With ``row_bound``, a small batch takes the broadcast form.
     """
-    # Only the null-passing rule yields NULL hash diffs.
-    null_safe = (HASH_DIFF,) if spec.rule.nulls == "propagate" else ()
+    null_safe = _null_safe(spec)
     if spec.policy == "hash_diff" and spec.history == "latest":
         return changed_since_latest(rows, target, spec.hk, null_safe=null_safe)
     unique = spec.policy != "key"
@@ -111,6 +115,12 @@ def changed_since_latest(
     )
 
 
+def rows_among(rows: DataFrame, fresh: DataFrame, spec: SatSpec) -> DataFrame:
+    """The satellite rows whose version is among the new ones."""
+    wanted = renamed(fresh, spec.match, "fresh_")
+    return rows.join(wanted, equal("", "fresh_", spec.match, _null_safe(spec)), "left_semi")
+
+
 def right_outer_using(target: DataFrame, batch: DataFrame, on: str) -> DataFrame:
     """All batch rows with their target match, sharing the key column."""
     return target.join(batch, [on], "right_outer")

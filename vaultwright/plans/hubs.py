@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,10 +30,8 @@ def fresh_vault(spark: SparkSession) -> Vault:
     return Vault(FolderStore(spark, scratch_path(spark, "vault")))
 
 
-def _stored_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    stored = build.hub_rows(table(spark, sf_dir, "lineitem"), HUB_ORDER_OF_ITEM, "lineitem.csv", FIRST.ts)
-    batch = build.hub_rows(table(spark, sf_dir, "orders"), HUB_ORDER, "orders.csv", SECOND.ts)
-    return stored, batch
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build.hub_rows(table(spark, sf_dir, "lineitem"), HUB_ORDER_OF_ITEM, "lineitem.csv", FIRST.ts)
 
 
 @query(f"""
@@ -44,15 +44,17 @@ def hub_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_NEW)
 def hub_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored, batch = _stored_and_batch(spark, sf_dir)
-    return newrows.new_rows(batch, stored, HUB_ORDER.match)
+    keep = partial(newrows.new_rows, target=_stored(spark, sf_dir), on=HUB_ORDER.match)
+    return build.hub_rows(table(spark, sf_dir, "orders"), HUB_ORDER, "orders.csv", SECOND.ts, keep=keep)
 
 
 @query(_NEW)
 def hub_incremental_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored, batch = _stored_and_batch(spark, sf_dir)
-    bound = table(spark, sf_dir, "orders").count()
-    return newrows.new_rows_by_size(batch, stored, HUB_ORDER.match, row_bound=bound)
+    orders = table(spark, sf_dir, "orders")
+    keep = partial(
+        newrows.new_rows_by_size, target=_stored(spark, sf_dir), on=HUB_ORDER.match, row_bound=orders.count()
+    )
+    return build.hub_rows(orders, HUB_ORDER, "orders.csv", SECOND.ts, keep=keep)
 
 
 @query(f"""
@@ -105,7 +107,7 @@ def null_key_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     LEFT JOIN (SELECT ORDER_HK AS HELD, RECORD_SOURCE AS LOADED_FROM FROM ({_STORED}) AS s) AS stored ON HELD = ORDER_HK
 """)
 def right_outer_using(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored, _ = _stored_and_batch(spark, sf_dir)
+    stored = _stored(spark, sf_dir)
     held = stored.select("ORDER_HK", F.col("RECORD_SOURCE").alias("LOADED_FROM"))
     orders = table(spark, sf_dir, "orders").select(build.hash_key("o_orderkey").alias("ORDER_HK"), "o_custkey")
     return newrows.right_outer_using(held, orders, "ORDER_HK")
@@ -117,7 +119,7 @@ def right_outer_using(spark: SparkSession, sf_dir: str) -> DataFrame:
     LEFT JOIN (SELECT ORDER_HK AS HELD, RECORD_SOURCE AS LOADED_FROM FROM ({_STORED}) AS s) AS stored ON HELD = r_ORDER_HK
 """)
 def right_outer_on(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored, _ = _stored_and_batch(spark, sf_dir)
+    stored = _stored(spark, sf_dir)
     held = stored.select("ORDER_HK", F.col("RECORD_SOURCE").alias("LOADED_FROM"))
     orders = table(spark, sf_dir, "orders").select(
         build.hash_key("o_orderkey").alias("r_ORDER_HK"), F.col("o_custkey").alias("r_o_custkey")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,8 +41,8 @@ def link_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def link_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = build.link_rows(loaded_orders(spark, sf_dir), LNK_ORDER, "orders.csv", FIRST.ts)
-    batch = build.link_rows(table(spark, sf_dir, "orders"), LNK_ORDER, "orders.csv", SECOND.ts)
-    return newrows.new_rows(batch, stored, LNK_ORDER.match)
+    keep = partial(newrows.new_rows, target=stored, on=LNK_ORDER.match)
+    return build.link_rows(table(spark, sf_dir, "orders"), LNK_ORDER, "orders.csv", SECOND.ts, keep=keep)
 
 
 @query(f"""

@@ -6,6 +6,8 @@ name. The stored orders are an earlier load, when urgent orders were still open.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,8 +58,8 @@ def _customers_before(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _incremental(spark: SparkSession, sf_dir: str, spec: SatSpec) -> DataFrame:
     stored = build.sat_rows(_customers_before(spark, sf_dir), spec, "customer.csv", FIRST.ts)
-    batch = build.sat_rows(table(spark, sf_dir, "customer"), spec, "customer.csv", SECOND.ts)
-    return newrows.new_versions(batch, stored, spec)
+    keep = partial(newrows.new_versions, target=stored, spec=spec)
+    return build.sat_rows(table(spark, sf_dir, "customer"), spec, "customer.csv", SECOND.ts, keep=keep)
 
 
 @query(_customers("customer", FIRST))
@@ -114,8 +116,8 @@ def linksat_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("o_orderpriority") == "1-URGENT", "O").otherwise(F.col("o_orderstatus"))
     before = loaded_orders(spark, sf_dir).withColumn("o_orderstatus", status)
     stored = build.sat_rows(before, SAT_LNK_ORDER, "orders.csv", FIRST.ts)
-    batch = build.sat_rows(table(spark, sf_dir, "orders"), SAT_LNK_ORDER, "orders.csv", SECOND.ts)
-    return newrows.new_versions(batch, stored, SAT_LNK_ORDER)
+    keep = partial(newrows.new_versions, target=stored, spec=SAT_LNK_ORDER)
+    return build.sat_rows(table(spark, sf_dir, "orders"), SAT_LNK_ORDER, "orders.csv", SECOND.ts, keep=keep)
 
 
 @query(f"""
