@@ -36,6 +36,10 @@ def test_forms_agree(spark, conf, written):
     target, batch = written("target", 0, 10_000), written("batch", 9_900, 10_050)
     expected = [(str(k),) for k in range(10_000, 10_050)]
     assert tuples(newrows.new_rows(batch, target, HUB.match), "THING_BK") == expected
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    packed = newrows.new_rows(batch, target, HUB.match, packed=True)
+    assert tuples(packed, "THING_BK") == expected
+    assert "unhex" in plan(packed)
     assert tuples(newrows.new_rows(batch, target, HUB.match, target_unique=False), "THING_BK") == expected
     assert tuples(newrows.new_rows_small_batch(batch, target, HUB.match), "THING_BK") == expected
 

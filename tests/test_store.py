@@ -83,14 +83,19 @@ def test_facts_with_few_keys_take_the_broadcast_form(spark, conf, tmp_path, batc
     assert tuples(stored, "THING_BK") == [(str(k),) for k in range(3000, 3005)]
 
 
-@pytest.mark.parametrize("policy", ["hash_diff", "key"])
-@pytest.mark.parametrize("rule", [STANDARD, PASS_NULLS])
 @pytest.mark.parametrize("threshold", ["10MB", "20KB", "-1"])
-def test_every_way_to_find_new_versions_agrees(spark, conf, tmp_path, batches, policy, rule, threshold):
+@pytest.mark.parametrize(
+    "policy, history, rule",
+    [
+        ("hash_diff", "any", STANDARD), ("hash_diff", "any", PASS_NULLS), ("hash_diff", "latest", STANDARD),
+        ("hash_diff", "latest", PASS_NULLS), ("key", "any", STANDARD),
+    ],
+)
+def test_every_way_to_find_new_versions_agrees(spark, conf, tmp_path, batches, policy, rule, threshold, history):
     """All broadcast, only the new versions broadcast, and nothing broadcast."""
     conf("spark.sql.autoBroadcastJoinThreshold", threshold)
     vault = Vault(FolderStore(spark, str(tmp_path)))
-    spec = SatSpec("SAT", HUB, ("name",), rule=rule, policy=policy)
+    spec = SatSpec("SAT", HUB, ("name",), rule=rule, policy=policy, history=history)
     first = spark.range(200).selectExpr("cast(id as int) AS id", "if(id = 5, null, 'a') AS name")
     second = spark.range(210).selectExpr(
         "cast(id as int) AS id", "CASE WHEN id IN (5, 207) THEN null WHEN id = 9 THEN 'b' ELSE 'a' END AS name"

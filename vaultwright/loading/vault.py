@@ -14,12 +14,12 @@ from vaultwright.loading.staging import stage
 from vaultwright.operators.build import (
     finish_sat_rows, hub_rows_from_feeds, link_rows, one_per_version, rejected_rows, sat_hashes, sat_rows_by_count,
 )
-from vaultwright.operators.joins import fits_broadcast
+from vaultwright.operators.joins import fits_broadcast, pack, unpack
 from vaultwright.operators.newrows import new_rows_by_size, new_versions, rows_among
 from vaultwright.operators.views import create_stage_view
 from vaultwright.session import scratch_path
 from vaultwright.sources.store import FolderStore
-from vaultwright.spec import Batch, HubSpec, LinkSpec, SatSpec, StageSpec
+from vaultwright.spec import LOAD_DATE, Batch, HubSpec, LinkSpec, SatSpec, StageSpec
 
 
 @dataclass(frozen=True)
@@ -28,12 +28,12 @@ class LoadResult:
     mode: str  # "initial", "incremental" or "refresh"
 
 
-def _new_keys(rows: DataFrame, target: DataFrame, on: Sequence[str], row_bound: int) -> DataFrame:
+def _new_keys(rows: DataFrame, target: DataFrame, on: Sequence[str], row_bound: int, packed: bool) -> DataFrame:
     if not fits_broadcast(rows, row_bound, on) and target.count() > row_bound:
         # Facts repeat keys: counting the distinct ones is cheaper than shuffling a
         # table larger than all of the batch.
         row_bound = rows.select(*on).count()
-    return new_rows_by_size(rows, target, on, row_bound=row_bound)
+    return new_rows_by_size(rows, target, on, row_bound=row_bound, packed=packed)
 
 
 def _stage_table(spec: StageSpec) -> str:
@@ -120,7 +120,8 @@ class Vault:
         if isinstance(spec, SatSpec):
             rows = self._new_versions(spec, build, staged[0], target, feed, batch, bound)
         else:
-            rows = build(keep=partial(_new_keys, target=target, on=spec.match, row_bound=bound))
+            packed = not self.store.bucketed
+            rows = build(keep=partial(_new_keys, target=target, on=spec.match, row_bound=bound, packed=packed))
         self.store.replace_batch(spec.name, rows, batch.id, feed, spec.spread)
         return LoadResult(spec.name, "incremental")
 
@@ -136,8 +137,7 @@ class Vault:
     ) -> DataFrame:
         """Rows of the versions to insert.
 
-        A large batch first finds them by hash key and hash diff alone and writes
-        those down. Mostly a batch repeats what is stored: the few new versions then
+        A large batch first finds them by their hashes alone and writes those down. Mostly a batch repeats what is stored: the few new versions then
         fit a broadcast, and the wide rows are filtered where they lie. Only what
         remains is grouped.
         """
@@ -145,7 +145,13 @@ class Vault:
             return build(keep=partial(new_versions, target=target, spec=spec, row_bound=row_bound))
         spark, path = staged.sparkSession, scratch_path(staged.sparkSession, "versions")
         hashes = sat_hashes(staged, spec)
-        new_versions(hashes.select(*spec.match).distinct(), target, spec).write.parquet(path)
+        batch_keys, target_keys = hashes.select(*spec.match), target.select(*spec.match, LOAD_DATE)
+        if self.store.bucketed:  # the stored side is partitioned by the text already
+            fresh = new_versions(batch_keys.distinct(), target_keys, spec)
+        else:
+            packed_keys = pack(batch_keys, spec.match).distinct()
+            fresh = unpack(new_versions(packed_keys, pack(target_keys, spec.match), spec), spec.match)
+        fresh.write.parquet(path)
         fresh = spark.read.parquet(path)
         if fits_broadcast(staged, fresh.count(), spec.match):
             rows = one_per_version(rows_among(hashes, F.broadcast(fresh), spec), spec)

@@ -99,14 +99,16 @@ def sat_hashes(staged: DataFrame, spec: SatSpec) -> DataFrame:
 
 
 def one_per_version(hashes: DataFrame, spec: SatSpec) -> DataFrame:
-    """One row per parent and hash diff.
+    """One row per version of a parent.
 
     The hash diff is part of the grouping key, so the versions of one busy parent
     spread over all tasks. Equal hash diffs can stand for unequal values (NULL and
     empty text): the smallest row is kept, whatever order the rows arrive in.
     """
-    smallest = F.min(F.struct(*spec.attributes)).alias("row")
-    return hashes.groupBy(spec.hk, HASH_DIFF).agg(smallest).select(spec.hk, HASH_DIFF, "row.*")
+    others = [c for c in (spec.hk, *spec.attributes) if c not in spec.version]
+    smallest = F.min(F.struct(*others)).alias("row")
+    rows = hashes.groupBy(*spec.version).agg(smallest).select(*spec.version, "row.*")
+    return rows.select(spec.hk, HASH_DIFF, *spec.attributes)
 
 
 def _versions(staged: DataFrame, spec: SatSpec, copies: str) -> DataFrame:

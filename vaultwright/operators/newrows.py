@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultwright.operators.joins import equal, fits_broadcast, renamed
+from vaultwright.operators.joins import equal, fits_broadcast, pack, renamed
 from vaultwright.spec import HASH_DIFF, LOAD_DATE, SatSpec
 
 
@@ -18,9 +18,13 @@ def new_rows(
     *,
     target_unique: bool = True,
     null_safe: Sequence[str] = (),
+    packed: bool = False,
 ) -> DataFrame:
     """Batch rows without a match in the target.
 
+    ``packed`` shuffles the target's hash keys as bytes. Leave it out where the rows
+    are grouped by ``on``, or the target is bucketed by it: they meet as they are.
+
     Columns in ``null_safe`` also match where both sides are NULL. The others
     compare plainly: rows grouped by ``on`` then meet the target as they are
     partitioned, while a null-safe comparison would shuffle them once more.
@@ -29,10 +33,10 @@ def new_rows(
     are made unique first. That uses the shuffle the join needs anyway, combines
     on the map side, and no busy key lands on one join task.
     """
-    held = renamed(target, on, "held_")
+    held = renamed(pack(target.select(*on), on) if packed else target, on, "held_")
     if not target_unique:
         held = held.distinct()
-    return batch.join(held, equal("", "held_", on, null_safe), "left_anti")
+    return batch.join(held, equal("", "held_", on, null_safe, packed=packed), "left_anti")
 
 
 def new_rows_small_batch(
@@ -58,6 +62,7 @@ def new_rows_by_size(
     row_bound: int,
     target_unique: bool = True,
     null_safe: Sequence[str] = (),
+    packed: bool = False,
 ) -> DataFrame:
     """The broadcast form where the batch provably fits, else the plain anti join.
 
@@ -66,7 +71,7 @@ def new_rows_by_size(
     """
     if fits_broadcast(batch, row_bound, on):
         return new_rows_small_batch(batch, target, on, null_safe=null_safe)
-    return new_rows(batch, target, on, target_unique=target_unique, null_safe=null_safe)
+    return new_rows(batch, target, on, target_unique=target_unique, null_safe=null_safe, packed=packed)
 
 
 def _null_safe(spec: SatSpec) -> tuple[str, ...]:

@@ -44,7 +44,7 @@ def hub_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_NEW)
 def hub_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keep = partial(newrows.new_rows, target=_stored(spark, sf_dir), on=HUB_ORDER.match)
+    keep = partial(newrows.new_rows, target=_stored(spark, sf_dir), on=HUB_ORDER.match, packed=True)
     return build.hub_rows(table(spark, sf_dir, "orders"), HUB_ORDER, "orders.csv", SECOND.ts, keep=keep)
 
 
@@ -52,7 +52,8 @@ def hub_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hub_incremental_semi_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     keep = partial(
-        newrows.new_rows_by_size, target=_stored(spark, sf_dir), on=HUB_ORDER.match, row_bound=orders.count()
+        newrows.new_rows_by_size,
+        target=_stored(spark, sf_dir), on=HUB_ORDER.match, row_bound=orders.count(), packed=True,
     )
     return build.hub_rows(orders, HUB_ORDER, "orders.csv", SECOND.ts, keep=keep)
 

@@ -41,7 +41,7 @@ def link_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def link_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = build.link_rows(loaded_orders(spark, sf_dir), LNK_ORDER, "orders.csv", FIRST.ts)
-    keep = partial(newrows.new_rows, target=stored, on=LNK_ORDER.match)
+    keep = partial(newrows.new_rows, target=stored, on=LNK_ORDER.match, packed=True)
     return build.link_rows(table(spark, sf_dir, "orders"), LNK_ORDER, "orders.csv", SECOND.ts, keep=keep)
 
 

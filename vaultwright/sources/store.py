@@ -35,6 +35,8 @@ def _literal(text: str) -> str:
 class FolderStore:
     """Tables below a root folder, in one format (parquet, or delta where installed)."""
 
+    bucketed = False
+
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet") -> None:
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
 
@@ -99,13 +101,15 @@ class FolderStore:
 
 
 class BucketedStore(FolderStore):
-    """Catalog tables bucketed by hash key, satellites by hash key and hash diff.
+    """Catalog tables bucketed by hash key, satellites by version.
 
     The stored side of an insert-only-new join is then read already partitioned by
     the join key: only the batch is shuffled, however large the table has grown.
     Tables written without ``spread`` columns stay in plain folders.
     """
 
+    bucketed = True
+
     def __init__(self, spark: SparkSession, root: str, buckets: int, database: str = "default") -> None:
         """``root`` takes the stage tables, the catalog's ``database`` the others."""
         super().__init__(spark, root)

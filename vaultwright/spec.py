@@ -213,13 +213,20 @@ class SatSpec:
     def columns(self) -> list[str]:
         return [self.hk, HASH_DIFF, *self.attributes, RECORD_SOURCE, LOAD_DATE]
 
+    @property
+    def version(self) -> list[str]:
+        """What tells one version from another: the hash diff alone where it covers
+        the parent, half the bytes to shuffle."""
+        covers_parent = self.hash_parent and self.rule.nulls != "propagate"
+        return [HASH_DIFF] if covers_parent and self.history == "any" else [self.hk, HASH_DIFF]
+
     @property
     def match(self) -> list[str]:
-        return [self.hk] if self.policy == "key" else [self.hk, HASH_DIFF]
+        return [self.hk] if self.policy == "key" else self.version
 
     @property
     def spread(self) -> list[str]:
-        return [self.hk, HASH_DIFF]
+        return self.version
 
     def schema(self, staged: T.StructType) -> T.StructType:
         return T.StructType([
