@@ -5,10 +5,12 @@ from __future__ import annotations
 from vaultwright.llm.common import Query
 from vaultwright.llm.disclosure import personal_query
 from vaultwright.llm.secrets import secrets_query
+from vaultwright.llm.simhash import near_duplicates_query
 from vaultwright.llm.token_records import token_stream_query
 
 QUERIES: dict[str, Query] = {
     "op1_token_records": Query(token_stream_query),
     "op3_secrets": Query(secrets_query),
+    "op4_simhash": Query(near_duplicates_query),
     "op8_disclosure": Query(personal_query),
 }
