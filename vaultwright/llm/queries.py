@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from vaultwright.llm.common import Query
 from vaultwright.llm.disclosure import personal_query
+from vaultwright.llm.learned_partitions import nearest_query
 from vaultwright.llm.positional_index import CONTAMINATION_SQL, contamination_query
 from vaultwright.llm.secrets import secrets_query
 from vaultwright.llm.simhash import near_duplicates_query
@@ -13,6 +14,7 @@ QUERIES: dict[str, Query] = {
     "op1_token_records": Query(token_stream_query),
     "op3_secrets": Query(secrets_query),
     "op4_simhash": Query(near_duplicates_query),
+    "op5_learned_partitions": Query(nearest_query),
     "op6_decontamination": Query(contamination_query, CONTAMINATION_SQL),
     "op8_disclosure": Query(personal_query),
 }
