@@ -5,6 +5,7 @@ from __future__ import annotations
 from vaultwright.llm.common import Query
 from vaultwright.llm.disclosure import personal_query
 from vaultwright.llm.learned_partitions import nearest_query
+from vaultwright.llm.perplexity import quality_query
 from vaultwright.llm.positional_index import CONTAMINATION_SQL, contamination_query
 from vaultwright.llm.secrets import secrets_query
 from vaultwright.llm.simhash import near_duplicates_query
@@ -17,4 +18,5 @@ QUERIES: dict[str, Query] = {
     "op5_learned_partitions": Query(nearest_query),
     "op6_decontamination": Query(contamination_query, CONTAMINATION_SQL),
     "op8_disclosure": Query(personal_query),
+    "op9_perplexity": Query(quality_query),
 }
