@@ -9,6 +9,7 @@ from vaultwright.llm.perplexity import quality_query
 from vaultwright.llm.positional_index import CONTAMINATION_SQL, contamination_query
 from vaultwright.llm.secrets import secrets_query
 from vaultwright.llm.simhash import near_duplicates_query
+from vaultwright.llm.soft_mixing import mixing_query
 from vaultwright.llm.token_records import token_stream_query
 
 QUERIES: dict[str, Query] = {
@@ -17,6 +18,7 @@ QUERIES: dict[str, Query] = {
     "op4_simhash": Query(near_duplicates_query),
     "op5_learned_partitions": Query(nearest_query),
     "op6_decontamination": Query(contamination_query, CONTAMINATION_SQL),
+    "op7_soft_mixing": Query(mixing_query),
     "op8_disclosure": Query(personal_query),
     "op9_perplexity": Query(quality_query),
 }
