@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from vaultwright.llm.common import Query
 from vaultwright.llm.disclosure import personal_query
+from vaultwright.llm.fixity import fixity_query
 from vaultwright.llm.learned_partitions import nearest_query
 from vaultwright.llm.perplexity import quality_query
 from vaultwright.llm.positional_index import CONTAMINATION_SQL, contamination_query
@@ -14,6 +15,7 @@ from vaultwright.llm.token_records import token_stream_query
 
 QUERIES: dict[str, Query] = {
     "op1_token_records": Query(token_stream_query),
+    "op2_fixity": Query(fixity_query),
     "op3_secrets": Query(secrets_query),
     "op4_simhash": Query(near_duplicates_query),
     "op5_learned_partitions": Query(nearest_query),
