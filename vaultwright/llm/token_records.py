@@ -27,6 +27,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -176,9 +177,17 @@ class PartEncoder:
         return b"".join(self.whole(part) for part in PART.split(text))
 
 
+def process_encoder(tokenizer_path: str) -> PartEncoder:
+    """The encoder of this Python process: workers live for many tasks and go on with what they know."""
+    kept = sys.modules.setdefault("vaultwright_worker", ModuleType("vaultwright_worker")).__dict__
+    if tokenizer_path not in kept:
+        kept[tokenizer_path] = PartEncoder(tokenizer_path)
+    return kept[tokenizer_path]
+
+
 def _writer(folder: str, tokenizer_path: str, end_id: int) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PartEncoder(tokenizer_path)
+        encoder = process_encoder(tokenizer_path)
         end = end_id.to_bytes(encoder.width, "little")
         store, base = fs.FileSystem.from_uri(folder)
         name, stream, offset, place = f"part-{uuid.uuid4().hex}.records", None, 0, 0
