@@ -11,6 +11,7 @@ from vaultwright.llm.positional_index import CONTAMINATION_SQL, contamination_qu
 from vaultwright.llm.secrets import secrets_query
 from vaultwright.llm.simhash import near_duplicates_query
 from vaultwright.llm.soft_mixing import mixing_query
+from vaultwright.llm.suffix_levels import repeats_query
 from vaultwright.llm.token_records import token_stream_query
 
 QUERIES: dict[str, Query] = {
@@ -23,4 +24,5 @@ QUERIES: dict[str, Query] = {
     "op7_soft_mixing": Query(mixing_query),
     "op8_disclosure": Query(personal_query),
     "op9_perplexity": Query(quality_query),
+    "op10_suffix_levels": Query(repeats_query),
 }
