@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,13 +35,9 @@ def bounded_broadcast(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
-def numbered(df: DataFrame, columns: Sequence[str], key: str = "__row") -> DataFrame:
-    """The named columns and a row number that also tells repeated rows apart.
-
-    The number follows the input's partitions. Where it is joined again later it must
-    come from one written table, which ``written`` gives.
-    """
-    return df.select(F.monotonically_increasing_id().alias(key), *columns)
+def text_key(text: Column) -> Column:
+    """128 bits that stand for a text; of a null text those of an empty one."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
 
 
 def ascii_lower(text: Column) -> Column:

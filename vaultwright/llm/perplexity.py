@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwright.llm.common import bounded_broadcast, table, written
+from vaultwright.llm.common import bounded_broadcast, table, text_key, written
 
 ORDER = 4
 BEGIN, ASTRAL = 0x02, 0xFFFF
@@ -207,10 +207,6 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     ).filter("q = 1 AND t = 0").select("doc_id")
 
 
-def text_key(text: Column) -> Column:
-    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
-
-
 def perplexities(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, head: int = 1 << 17) -> DataFrame:
     """Per row: ``doc_id``, ``lang``, ``text_key``, ``n_tokens``, ``perplexity``, ``threshold``, ``keep``.
 

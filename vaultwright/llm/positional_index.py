@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vaultwright.llm.common import ascii_lower, bounded_broadcast, table, written
+from vaultwright.llm.common import ascii_lower, bounded_broadcast, table, text_key, written
 
 # Fixed values of the contract: what separates words, and the length of a window.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -28,26 +28,27 @@ def words(text: Column) -> Column:
 
 
 def build_index(docs: DataFrame) -> DataFrame:
-    """Postings of every word of ``docs``: ``row``, ``term``, ``place`` (from 0), ``doc_id``.
+    """Postings of every word of ``docs``: ``row``, ``term``, ``place`` (from 0), ``doc_id``, ``text_key``.
 
     One row without a term stands for each document: its ``place`` is the number of
-    words, and it alone carries ``doc_id``. Rows are numbered as they are written, so
+    words, and it alone carries ``doc_id`` and ``text_key``. Rows are numbered as they are written, so
     repeated and null ids do no harm. Of the input only ``doc_id`` and ``text`` are read.
     """
     tokens = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-        words(F.col("text")).alias("words"),
-    ).select("row", "doc_id", F.size("words").alias("n"), F.concat(F.array(F.lit(None).cast("string")), "words").alias("words"))
-    postings = tokens.select("row", "doc_id", "n", F.posexplode("words").alias("at", "term")).select(
+        text_key(F.col("text")).alias("text_key"), words(F.col("text")).alias("words"),
+    ).select("row", "doc_id", "text_key", F.size("words").alias("n"), F.concat(F.array(F.lit(None).cast("string")), "words").alias("words"))
+    postings = tokens.select("row", "doc_id", "text_key", "n", F.posexplode("words").alias("at", "term")).select(
         "row", "term",
         F.when(F.col("at") == 0, F.col("n")).otherwise(F.col("at") - 1).alias("place"),
         F.when(F.col("at") == 0, F.col("doc_id")).alias("doc_id"),
+        F.when(F.col("at") == 0, F.col("text_key")).alias("text_key"),
     )
     return written(postings.sortWithinPartitions("term", "row", "place"), "postings")
 
 
 def documents_of(index: DataFrame) -> DataFrame:
-    return index.filter(F.col("term").isNull()).select("row", "doc_id", F.col("place").cast("long").alias("n_words"))
+    return index.filter(F.col("term").isNull()).select("row", "doc_id", "text_key", F.col("place").cast("long").alias("n_words"))
 
 
 def postings_of(index: DataFrame, terms: DataFrame) -> DataFrame:
@@ -171,12 +172,25 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW) ->
     return documents_of(index).join(found, "row", "left").select(
         "doc_id", "n_words", n_hit.cast("long").alias("n_hit"), F.size(items_of).cast("long").alias("n_items"),
         F.sha2(F.array_join(items_of, ","), 256).alias("items_sha256"),
-        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), "text_key",
     )
 
 
+def without_contaminated(docs: DataFrame, items: DataFrame, *, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, all columns.
+
+    Whether a document is contaminated hangs on its text alone, so rows are found again
+    by their text, and those that go are taken out where the others lie.
+    """
+    found = contamination(docs, items, window=window).filter("contaminated")
+    gone = written(found.select(F.col("text_key").alias("__gone")).distinct(), "contaminated")
+    return docs.withColumn("__key", text_key(F.col("text"))).join(
+        bounded_broadcast(gone, gone.count(), MOST_BROADCAST_ROWS), F.col("__key") == F.col("__gone"), "left_anti"
+    ).select(*docs.columns)
+
+
 def contamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
 _WORDS = (

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwright.llm.common import bounded_broadcast, table, written
+from vaultwright.llm.common import bounded_broadcast, table, text_key, written
 
 DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.93, "poor": 0.05, "toxic": 0.02}
@@ -49,7 +49,7 @@ def _tokens(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     split = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-        F.unhex(F.md5(text.cast("binary"))).alias("text_key"), F.array_remove(F.split(text, r"\s+", -1), "").alias("tokens"))
+        text_key(text).alias("text_key"), F.array_remove(F.split(text, r"\s+", -1), "").alias("tokens"))
     distinct = split.select(
         "row", "doc_id", "text_key", F.size("tokens").cast("long").alias("n_tokens"), F.array_distinct("tokens").alias("tokens"))
     endings = F.array_distinct(F.transform("tokens", lambda t: F.concat(F.lit(" "), F.right(t, F.lit(2)))))
@@ -186,9 +186,8 @@ def mixed(docs: DataFrame, labels: DataFrame, *, targets: Mapping[str, float] =
     changed = written(
         rates.filter("copies != 1").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("copies").alias("__copies"))
         .distinct(), "copies")
-    key = F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key"))
-    joined = docs.withColumn("__text_key", key).join(bounded_broadcast(changed, changed.count(), MOST_BROADCAST_ROWS), same, "left")
+    joined = docs.withColumn("__text_key", text_key(F.col("text"))).join(bounded_broadcast(changed, changed.count(), MOST_BROADCAST_ROWS), same, "left")
     times = F.coalesce("__copies", F.lit(1)).cast("int")
     return joined.filter(times > 0).select(*docs.columns, F.explode(F.array_repeat(F.lit(True), times)).alias("__copy")).drop("__copy")
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwright.llm.common import bounded_broadcast, table, written
+from vaultwright.llm.common import bounded_broadcast, table, text_key, written
 
 LENGTH = 200
 ANCHOR = 40
@@ -300,10 +300,6 @@ def _repeats(hits: DataFrame, length: int) -> DataFrame:
     return whole.union(few).union(many)
 
 
-def text_key(text: Column) -> Column:
-    return F.unhex(F.md5(text.cast("binary")))
-
-
 def _key_bit(keys: list[bytes]) -> np.ndarray:
     return np.array([int.from_bytes(k[:8], "big", signed=True) for k in keys], dtype=np.int64)
 
