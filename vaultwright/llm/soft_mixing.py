@@ -1,8 +1,9 @@
 """Mixing to target weights with soft membership.
 
-A naive Bayes classifier, trained on labelled documents, gives every document a
-probability of each domain. Every document gets a rate: how often it is to be used. The
-rates r >= 0 minimise by projected gradient steps
+A decision list, trained on labelled documents, gives every document a probability of
+each domain: the most telling feature that a document has decides, with the shares of
+the domains among labelled documents that the same feature decides. Every document gets
+a rate: how often it is to be used. The rates r >= 0 minimise by projected gradient steps
 
     sum over domains of (sum over documents of r n p - target)^2 / (tokens of the domain)
 
@@ -23,8 +24,6 @@ from vaultwright.llm.common import bounded_broadcast, table, text_key, written
 
 DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.93, "poor": 0.05, "toxic": 0.02}
-BUCKETS = 1 << 16
-TEMPERATURES = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0)
 HELD_OUT = 4
 MOST_BROADCAST_ROWS = 1_000_000
 
@@ -44,7 +43,8 @@ def label_domains(labels: DataFrame) -> DataFrame:
 def _tokens(docs: DataFrame) -> DataFrame:
     """``row``, ``doc_id``, ``text_key``, ``n_tokens`` and the distinct ``features`` of every document.
 
-    Features are the tokens between white space and the last two letters of each.
+    Features are the tokens between white space and the last two letters of each, as
+    hashes.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     split = docs.select(
@@ -53,77 +53,61 @@ def _tokens(docs: DataFrame) -> DataFrame:
     distinct = split.select(
         "row", "doc_id", "text_key", F.size("tokens").cast("long").alias("n_tokens"), F.array_distinct("tokens").alias("tokens"))
     endings = F.array_distinct(F.transform("tokens", lambda t: F.concat(F.lit(" "), F.right(t, F.lit(2)))))
-    return distinct.select("row", "doc_id", "text_key", "n_tokens", F.concat("tokens", endings).alias("features"))
+    features = F.array_distinct(F.transform(F.concat("tokens", endings), lambda f: F.xxhash64(f)))
+    return distinct.select("row", "doc_id", "text_key", "n_tokens", features.alias("features"))
 
 
-def _bucket(feature: Column) -> Column:
-    return F.pmod(F.xxhash64(feature), F.lit(BUCKETS)).cast("int")
+def _telling(tokens: DataFrame, sample: DataFrame, least_g: float, n: Mapping[str, int]) -> DataFrame:
+    """The telling features with their ``gain`` and the shares of the domains among their documents.
 
-
-def _domain_sums(values: Mapping[str, Column]) -> list[Column]:
-    return [value.alias(name) for name, value in values.items()]
-
-
-def _train(tokens: DataFrame, sample: DataFrame, smoothing: float) -> tuple[DataFrame, dict[str, float]]:
-    """Log probabilities of the ``BUCKETS`` features per domain, and log priors."""
-    documents = {r.domain: r.n for r in sample.groupBy("domain").agg(F.count("*").alias("n")).collect()}
-    total = sum(documents.values())
-    priors = {d: float(np.log((documents.get(d, 0) + 1) / (total + len(DOMAINS)))) for d in DOMAINS}
-    seen = tokens.join(F.broadcast(sample), F.col("doc_id") == F.col("labelled")).select(
-        "domain", F.explode("features").alias("f")).select("domain", _bucket(F.col("f")).alias("bucket"))
-    counts = written(seen.groupBy("bucket").agg(
-        *_domain_sums({d: F.sum((F.col("domain") == d).cast("long")) for d in DOMAINS})), "feature-counts")
-    sums = counts.agg(*[F.coalesce(F.sum(d), F.lit(0)).alias(d) for d in DOMAINS]).first()
-    weights = counts.select("bucket", *[
-        (F.log((F.col(d) + smoothing) / (sums[d] + smoothing * BUCKETS)) - F.log(F.lit(smoothing / (sums[d] + smoothing * BUCKETS)))).alias(d)
-        for d in DOMAINS])
-    # Every feature of a document counts at least this much; the table holds what is above.
-    rest = {d: float(np.log(smoothing / (sums[d] + smoothing * BUCKETS))) for d in DOMAINS}
-    return weights, {"prior_" + d: priors[d] for d in DOMAINS} | {"rest_" + d: rest[d] for d in DOMAINS}
-
-
-def _posteriors(priors: Mapping[str, float], temperature: float) -> dict[str, Column]:
-    scores = [F.col("log_" + d) / temperature + F.lit(priors["prior_" + d]) for d in DOMAINS]
-    highest = F.greatest(*scores)
-    weights = [F.exp(s - highest) for s in scores]
-    total = weights[0] + weights[1] + weights[2]
-    return {d: w / total for d, w in zip(DOMAINS, weights, strict=True)}
+    A feature tells if the documents that have it are spread over the domains unlike all
+    documents, by a G statistic of ``least_g``; its gain is that statistic per document.
+    """
+    total = max(sum(n.values()), 1)
+    seen = tokens.join(F.broadcast(sample), F.col("doc_id") == F.col("labelled")).select("domain", F.explode("features").alias("feature"))
+    counts = seen.groupBy("feature").agg(*[F.sum((F.col("domain") == d).cast("long")).alias(d) for d in DOMAINS])
+    having = sum((F.col(d) for d in DOMAINS[1:]), F.col(DOMAINS[0]))
+    g = 2 * sum((F.when(F.col(d) > 0, F.col(d) * F.log(F.col(d) * total / (max(n[d], 1) * having))).otherwise(0.0) for d in DOMAINS), F.lit(0.0))
+    return written(counts.withColumn("g", g).filter(F.col("g") >= least_g).select(
+        "feature", (F.col("g") / having).alias("gain"), *[(F.col(d) / having).alias("share_" + d) for d in DOMAINS]), "telling")
 
 
-def classify(docs: DataFrame, labels: DataFrame, *, sample: int = 50_000, smoothing: float = 0.1) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, *, sample: int = 50_000, least_g: float = 30.0, pull: float = 4.0) -> DataFrame:
     """``row``, ``doc_id``, ``text_key``, ``n_tokens`` and the probability of each domain, of every row.
 
-    Trained on at most ``sample`` labelled documents, chosen by hash of the id; one in
-    ``HELD_OUT`` of them sets the temperature that makes the probabilities fit best.
-    Texts without tokens get the shares of the labels, as does every text if there are
-    no labels at all.
+    Trained on at most ``sample`` labelled documents, chosen by hash of the id. One in
+    ``HELD_OUT`` of them is left out of the choice of telling features and gives the
+    shares instead, drawn towards those of the others as if by ``pull`` documents.
+    Without any label all domains are equally likely.
     """
     domains = written(label_domains(labels), "label-domains")
-    n = domains.count()
-    share = min(1 << 20, max(1, sample * (1 << 20) // (n + n // 10 + 1)))
+    n_labels = domains.count()
+    share = min(1 << 20, max(1, sample * (1 << 20) // (n_labels + n_labels // 10 + 1)))
     chosen = written(
         domains.filter(F.pmod(F.xxhash64("labelled"), F.lit(1 << 20)) < share).limit(sample)
         .withColumn("held_out", F.pmod(F.xxhash64("labelled", F.lit("held")), F.lit(HELD_OUT)) == 0), "label-sample")
+    counted = {r.domain: r.n for r in chosen.filter("NOT held_out").groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    n = {d: counted.get(d, 0) for d in DOMAINS}
+    prior = {d: (n[d] + 1) / (sum(n.values()) + len(DOMAINS)) for d in DOMAINS}
     tokens = _tokens(docs)
-    weights, constants = _train(tokens, chosen.filter("NOT held_out"), smoothing)
-    features = tokens.select("row", "doc_id", "text_key", "n_tokens", F.size("features").alias("n"), F.explode_outer("features").alias("f"))
-    scored = features.withColumn("bucket", _bucket(F.col("f"))).join(F.broadcast(weights), "bucket", "left").groupBy(
-        "row", "doc_id", "text_key", "n_tokens", "n").agg(*[F.coalesce(F.sum(d), F.lit(0.0)).alias(d) for d in DOMAINS])
-    scored = written(scored.select("row", "doc_id", "text_key", "n_tokens", *[
-        (F.col(d) + F.col("n") * constants["rest_" + d]).alias("log_" + d) for d in DOMAINS]), "domain-scores")
-
-    held = scored.join(F.broadcast(chosen.filter("held_out")), F.col("doc_id") == F.col("labelled"))
-    losses = []
-    for i, temperature in enumerate(TEMPERATURES):
-        p = _posteriors(constants, temperature)
-        own = F.when(F.col("domain") == DOMAINS[0], p[DOMAINS[0]]).when(F.col("domain") == DOMAINS[1], p[DOMAINS[1]]).otherwise(p[DOMAINS[2]])
-        losses.append(F.avg(-F.log(F.greatest(own, F.lit(1e-12)))).alias(f"t{i}"))
-    row = held.agg(*losses).first()
-    best = min(range(len(TEMPERATURES)), key=lambda i: (row[i] if row[i] is not None else 0.0, i))
-    return scored.select("row", "doc_id", "text_key", "n_tokens", *_domain_sums(_posteriors(constants, TEMPERATURES[best])))
-
-
-def fit_rates(members: DataFrame, targets: Mapping[str, float], *, most_steps: int = 80, tolerance: float = 1e-5) -> DataFrame:
+    telling = _telling(tokens, chosen.filter("NOT held_out"), least_g, n)
+    keys = ["row", "doc_id", "text_key", "n_tokens"]
+    # At most one row per telling feature of the sample is broadcast, however many documents there are.
+    ruled = written(
+        tokens.select(*keys, F.explode_outer("features").alias("feature"))
+        .join(F.broadcast(telling.select("feature", "gain")), "feature", "left").groupBy(*keys)
+        .agg(F.max(F.when(F.col("gain").isNotNull(), F.struct("gain", "feature"))).alias("rule"))
+        .select(*keys, F.coalesce("rule.feature", F.lit(-1).cast("long")).alias("rule")), "rules")
+    held = ruled.join(F.broadcast(chosen.filter("held_out")), F.col("doc_id") == F.col("labelled")).groupBy("rule").agg(
+        F.count("*").alias("n"), *[F.sum((F.col("domain") == d).cast("long")).alias("held_" + d) for d in DOMAINS])
+    known = telling.select(F.col("feature").alias("rule"), *["share_" + d for d in DOMAINS]).union(
+        docs.sparkSession.range(1).select(F.lit(-1).cast("long").alias("rule"), *[F.lit(prior[d]).alias("share_" + d) for d in DOMAINS]))
+    shares = written(known.join(held, "rule", "left").select("rule", *[
+        ((F.coalesce("held_" + d, F.lit(0)) + pull * F.col("share_" + d)) / (F.coalesce("n", F.lit(0)) + pull)).alias(d) for d in DOMAINS]), "shares")
+    return ruled.join(F.broadcast(shares), "rule").drop("rule")
+
+
+def fit_rates(members: DataFrame, targets: Mapping[str, float], *, most_steps: int = 100, tolerance: float = 1e-5) -> DataFrame:
     """``members`` (``n_tokens`` and a probability per domain) with its ``rate``.
 
     ``targets`` are tokens per domain. Steps end when every domain is within
@@ -159,12 +143,12 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], *, most_steps: i
 
 
 def mixing_rates(
-    docs: DataFrame, labels: DataFrame, *, targets: Mapping[str, float] = TARGETS, whole: str = "good", sample: int = 50_000
+    docs: DataFrame, labels: DataFrame, *, targets: Mapping[str, float] = TARGETS, whole: str = "good", room: float = 1.06, sample: int = 50_000
 ) -> DataFrame:
     """Every row of ``docs`` with its domain probabilities, ``rate`` and ``copies``.
 
-    ``targets`` are shares of the tokens; as many tokens are asked for as keep the domain
-    ``whole`` at its present size. ``copies`` is the rate rounded up or down by a hash of
+    ``targets`` are shares of the tokens; as many tokens are asked for as make the domain
+    ``whole`` ``room`` times its present size, so that few of its documents round to none. ``copies`` is the rate rounded up or down by a hash of
     the id, so that it equals the rate on average.
 
     Null and empty texts have no tokens and do not weigh on the fit. Null ids are no
@@ -173,7 +157,7 @@ def mixing_rates(
     """
     members = classify(docs, labels, sample=sample)
     present = members.agg(F.coalesce(F.sum(F.col("n_tokens") * F.col(whole)), F.lit(0.0))).first()[0]
-    total = present / targets[whole] * sum(targets.values())
+    total = room * present / targets[whole] * sum(targets.values())
     goals = {d: total * targets.get(d, 0.0) / sum(targets.values()) for d in DOMAINS}
     rated = fit_rates(members, goals)
     chance = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
