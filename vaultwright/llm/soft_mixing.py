@@ -24,7 +24,6 @@ from vaultwright.llm.common import bounded_broadcast, table, text_key, written
 
 DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.93, "poor": 0.05, "toxic": 0.02}
-HELD_OUT = 4
 MOST_BROADCAST_ROWS = 1_000_000
 
 
@@ -72,25 +71,23 @@ def _telling(tokens: DataFrame, sample: DataFrame, least_g: float, n: Mapping[st
         "feature", (F.col("g") / having).alias("gain"), *[(F.col(d) / having).alias("share_" + d) for d in DOMAINS]), "telling")
 
 
-def classify(docs: DataFrame, labels: DataFrame, *, sample: int = 50_000, least_g: float = 30.0, pull: float = 4.0) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, *, sample: int = 50_000, least_g: float = 30.0, pull: float = 1.0) -> DataFrame:
     """``row``, ``doc_id``, ``text_key``, ``n_tokens`` and the probability of each domain, of every row.
 
-    Trained on at most ``sample`` labelled documents, chosen by hash of the id. One in
-    ``HELD_OUT`` of them is left out of the choice of telling features and gives the
-    shares instead, drawn towards those of the others as if by ``pull`` documents.
-    Without any label all domains are equally likely.
+    Trained on at most ``sample`` labelled documents, chosen by hash of the id. The
+    shares of a feature are those of the sample's documents that it decides, drawn
+    towards those of all its documents as if by ``pull`` more. Without any label all
+    domains are equally likely.
     """
     domains = written(label_domains(labels), "label-domains")
     n_labels = domains.count()
     share = min(1 << 20, max(1, sample * (1 << 20) // (n_labels + n_labels // 10 + 1)))
-    chosen = written(
-        domains.filter(F.pmod(F.xxhash64("labelled"), F.lit(1 << 20)) < share).limit(sample)
-        .withColumn("held_out", F.pmod(F.xxhash64("labelled", F.lit("held")), F.lit(HELD_OUT)) == 0), "label-sample")
-    counted = {r.domain: r.n for r in chosen.filter("NOT held_out").groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    chosen = written(domains.filter(F.pmod(F.xxhash64("labelled"), F.lit(1 << 20)) < share).limit(sample), "label-sample")
+    counted = {r.domain: r.n for r in chosen.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     n = {d: counted.get(d, 0) for d in DOMAINS}
     prior = {d: (n[d] + 1) / (sum(n.values()) + len(DOMAINS)) for d in DOMAINS}
     tokens = _tokens(docs)
-    telling = _telling(tokens, chosen.filter("NOT held_out"), least_g, n)
+    telling = _telling(tokens, chosen, least_g, n)
     keys = ["row", "doc_id", "text_key", "n_tokens"]
     # At most one row per telling feature of the sample is broadcast, however many documents there are.
     ruled = written(
@@ -98,27 +95,28 @@ def classify(docs: DataFrame, labels: DataFrame, *, sample: int = 50_000, least_
         .join(F.broadcast(telling.select("feature", "gain")), "feature", "left").groupBy(*keys)
         .agg(F.max(F.when(F.col("gain").isNotNull(), F.struct("gain", "feature"))).alias("rule"))
         .select(*keys, F.coalesce("rule.feature", F.lit(-1).cast("long")).alias("rule")), "rules")
-    held = ruled.join(F.broadcast(chosen.filter("held_out")), F.col("doc_id") == F.col("labelled")).groupBy("rule").agg(
-        F.count("*").alias("n"), *[F.sum((F.col("domain") == d).cast("long")).alias("held_" + d) for d in DOMAINS])
+    decided = ruled.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).groupBy("rule").agg(
+        F.count("*").alias("n"), *[F.sum((F.col("domain") == d).cast("long")).alias("decided_" + d) for d in DOMAINS])
     known = telling.select(F.col("feature").alias("rule"), *["share_" + d for d in DOMAINS]).union(
         docs.sparkSession.range(1).select(F.lit(-1).cast("long").alias("rule"), *[F.lit(prior[d]).alias("share_" + d) for d in DOMAINS]))
-    shares = written(known.join(held, "rule", "left").select("rule", *[
-        ((F.coalesce("held_" + d, F.lit(0)) + pull * F.col("share_" + d)) / (F.coalesce("n", F.lit(0)) + pull)).alias(d) for d in DOMAINS]), "shares")
+    shares = written(known.join(decided, "rule", "left").select("rule", *[
+        ((F.coalesce("decided_" + d, F.lit(0)) + pull * F.col("share_" + d)) / (F.coalesce("n", F.lit(0)) + pull)).alias(d) for d in DOMAINS]), "shares")
     return ruled.join(F.broadcast(shares), "rule").drop("rule")
 
 
 def fit_rates(members: DataFrame, targets: Mapping[str, float], *, most_steps: int = 100, tolerance: float = 1e-5) -> DataFrame:
     """``members`` (``n_tokens`` and a probability per domain) with its ``rate``.
 
-    ``targets`` are tokens per domain. Steps end when every domain is within
-    ``tolerance`` of all target tokens, or when nothing moves any more. Every eighth step
-    the rates are written, so a plan never grows longer than that.
+    ``targets`` are tokens per domain. Each step starts a little ahead of the rates, in
+    the direction they moved (Nesterov's rule). Steps end when every domain is within
+    ``tolerance`` of all target tokens, or do not move for three steps. Every eighth step the rates are written, so a
+    plan never grows longer than that.
     """
     domains = list(targets)
     n = F.col("n_tokens")
     sums = [F.coalesce(F.sum(n * F.col(d)), F.lit(0.0)) for d in domains]
     products = [F.coalesce(F.sum(n * F.col(a) * F.col(b)), F.lit(0.0)) for a in domains for b in domains]
-    members = members.withColumn("rate", F.lit(1.0))
+    members = members.withColumns({"rate": F.lit(1.0), "ahead": F.lit(1.0)})
     first = members.agg(*sums, *products).first()
     k = len(domains)
     size = np.maximum(np.array(first[:k], dtype=float), 1.0)
@@ -126,20 +124,24 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], *, most_steps: i
     curvature = np.array(first[k:], dtype=float).reshape(k, k) / np.sqrt(np.outer(size, size))
     step = 1.0 / max(float(np.linalg.eigvalsh(curvature)[-1]), 1e-9)
     goal = np.array([targets[d] for d in domains], dtype=float)
-    rate, before = F.col("rate"), None
+    speed, before, still = 1.0, np.full(k, np.inf), 0
     for done in range(1, most_steps + 1):
-        reached = np.array(members.agg(*[F.coalesce(F.sum(rate * n * F.col(d)), F.lit(0.0)) for d in domains]).first(), dtype=float)
-        off = reached - goal
-        moved = np.inf if before is None else np.abs(reached - before).max()
-        if np.abs(off).max() <= tolerance * goal.sum() or moved <= 1e-3 * tolerance * goal.sum():
+        totals = members.agg(*[F.coalesce(F.sum(F.col(c) * n * F.col(d)), F.lit(0.0)) for c in ("rate", "ahead") for d in domains]).first()
+        reached, looked_at = np.array(totals[:k], dtype=float), np.array(totals[k:], dtype=float)
+        pull = step * (looked_at - goal) / size
+        still = still + 1 if np.abs(reached - before).max() <= 1e-3 * tolerance * goal.sum() else 0
+        if np.abs(reached - goal).max() <= tolerance * goal.sum() or still == 3:
             break
         before = reached
-        pull = step * off / size
         change = sum((F.col(d) * float(v) for d, v in zip(domains[1:], pull[1:], strict=True)), F.col(domains[0]) * float(pull[0]))
-        rate = F.greatest(rate - change, F.lit(0.0))
+        faster = (1 + (1 + 4 * speed * speed) ** 0.5) / 2
+        members = members.withColumn("next", F.greatest(F.col("ahead") - change, F.lit(0.0)))
+        members = members.withColumn("ahead", F.col("next") + (F.col("next") - F.col("rate")) * ((speed - 1) / faster))
+        members = members.withColumn("rate", F.col("next")).drop("next")
+        speed = faster
         if done % 8 == 0:
-            members, rate = written(members.withColumn("rate", rate), "rates"), F.col("rate")
-    return written(members.withColumn("rate", rate), "rates")
+            members = written(members, "rates")
+    return written(members.drop("ahead"), "rates")
 
 
 def mixing_rates(
