@@ -196,7 +196,7 @@ def nearest_in_block(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     if len(queries) and len(rows):
         q, x = _matrix(queries["vector"]), _matrix(rows["vector"])
         q_row, x_row = queries["row"].to_numpy(), rows["row"].to_numpy()
-        ids = rows["vec_id"].to_pandas().fillna(np.iinfo(np.int64).max).to_numpy(dtype=np.int64)
+        ids = pc.fill_null(rows["vec_id"], np.iinfo(np.int64).max).to_numpy()
         q_norm, x_norm = (q * q).sum(1), (x * x).sum(1)
         for at in range(0, len(q), 64):
             # A quick distance chooses with a margin for its rounding, the exact one decides.
@@ -220,7 +220,7 @@ def _search(queries: DataFrame, rows: DataFrame, k: int, settings: Settings) ->
     n_queries = {r.part: r.n for r in queries.groupBy("part").agg(F.count("*").alias("n")).collect()}
     parts = sorted(n_rows)
     if not parts:
-        return rows.sparkSession.createDataFrame([], "query_row long, row long, id long, score double")
+        return rows.sparkSession.createDataFrame([], "query_row long, row long, id long, score double, rank int")
     blocks = rows.sparkSession.createDataFrame(
         [(p, -(-n_rows[p] // settings.block_rows), -(-n_queries.get(p, 0) // settings.block_queries)) for p in parts],
         "part int, row_blocks int, query_blocks int")

@@ -108,9 +108,9 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float], *, most_steps: i
     """``members`` (``n_tokens`` and a probability per domain) with its ``rate``.
 
     ``targets`` are tokens per domain. Each step starts a little ahead of the rates, in
-    the direction they moved (Nesterov's rule). Steps end when every domain is within
-    ``tolerance`` of all target tokens, or do not move for three steps. Every eighth step the rates are written, so a
-    plan never grows longer than that.
+    the direction they moved (Nesterov's rule). Steps end when all domains are within
+    ``tolerance`` of all target tokens, or do not move for three steps. Every eighth step
+    the rates are written, so a plan never grows longer than that.
     """
     domains = list(targets)
     n = F.col("n_tokens")
