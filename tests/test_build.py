@@ -99,7 +99,7 @@ def test_copies_change_the_work_not_the_rows(spark):
     assert "Exchange" not in plan(rows(unique, "none"))
     assert tuples(rows(unique, "none")) == tuples(rows(unique, "few")) == tuples(rows(unique, "many"))
     assert tuples(rows(repeated, "few")) == tuples(rows(repeated, "many"))
-    assert tuples(rows(repeated, "few"), "name") == [("a",), ("b",), (None,)]
+    assert tuples(rows(repeated, "few"), "name") == [("",), ("a",), ("b",), (None,)]
 
 
 def test_only_rows_of_repeated_parents_are_grouped(spark, conf):

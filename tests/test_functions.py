@@ -34,7 +34,7 @@ def test_null_rules(spark):
     columns = ["x", "y", "z"]
     assert one(df, V.hash_diff(df, columns, SKIP_NULLS)) == md5("ab")
     assert one(df, V.hash_diff(df, columns, PASS_NULLS)) is None
-    assert one(df, V.hash_diff(df, columns, STANDARD)) == md5("a||||b")
+    assert one(df, V.hash_diff(df, columns, STANDARD)) == md5("a||\\N||b")
 
 
 def test_position_of_null_counts_only_in_standard_rule(spark):
@@ -55,10 +55,17 @@ def test_fixed_numbers_survive_any_double(spark):
     values = [1.0, 1e7, 0.00001, 1e20, float("nan"), float("inf"), None, -0.5]
     df = spark.createDataFrame([(v,) for v in values], "d double")
     texts = [r[0] for r in df.select(V.hash_diff(df, ["d"])).collect()]
-    expected = ["1.0000", "10000000.0000", "0.0000", "1.0E20", "NaN", "Infinity", "", "-0.5000"]
+    expected = ["1.0000", "10000000.0000", "1.0E-5", "1.0E20", "NaN", "Infinity", "\\N", "-0.5000"]
     assert texts == [md5(t) for t in expected]
 
 
+def test_standard_hashes_tell_texts_apart(spark):
+    rows = [("a||b", "c"), ("a", "b||c"), ("a", None), ("a", ""), ("a", "\\N"), ("a|", "|b"), ("a\\", "|b")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(V.hash_diff(df, ["x", "y"])).distinct().count() == len(rows)
+    assert df.where("y IS NOT NULL").select(V.link_key(df, ["x", "y"])).distinct().count() == len(rows) - 1
+
+
 def test_timestamp_text_does_not_depend_on_zone(spark, conf):
     df = spark.range(1).select(F.timestamp_micros(F.lit(1_700_000_000_123_456)).alias("t"))
     in_utc = one(df, V.hash_diff(df, ["t"]))

@@ -19,7 +19,7 @@ def random_batches(seed):
     rng = random.Random(seed)
     return [
         [
-            (rng.choice([7, 7, 7, None, *range(5)]), rng.choice(["a", "b", "c", None]), rng.choice([1, None]))
+            (rng.choice([7, 7, 7, None, *range(5)]), rng.choice(["a", "b", "a||b", "", None]), rng.choice([1, None]))
             for _ in range(rng.randrange(0, 14))
         ]
         for _ in range(4)
@@ -27,8 +27,8 @@ def random_batches(seed):
 
 
 def version(row):
-    """What the standard rule tells apart: NULL and empty are one."""
-    return tuple("" if v is None else str(v) for v in row)
+    """What the standard rule tells apart: every value, NULL and empty text included."""
+    return tuple("\0" if v is None else str(v) for v in row)
 
 
 def model(batches, history):

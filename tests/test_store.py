@@ -111,14 +111,49 @@ def test_every_way_to_find_new_versions_agrees(spark, conf, tmp_path, batches, p
     assert tuples(stored.where("BATCH_ID = '002'"), "name") == expected
 
 
-def test_refresh_replaces_the_whole_table(spark, vault, batches):
+def test_refresh_replaces_what_its_feed_brought(spark, vault, batches):
     a, b = things(spark, (1, 1, "a"), (2, 1, "b")), things(spark, (2, 1, "b"), (3, 1, "c"))
     vault.load_hub([(a, HUB, "x.csv")], batches[0])
     vault.load_hub([(b, HUB, "y.csv")], batches[1])
     assert Vault(vault.store, refresh=True).load_hub([(b, HUB, "y.csv")], batches[2]).mode == "refresh"
-    assert hub_keys(vault, a) == [("2", "003"), ("3", "003")]
+    assert hub_keys(vault, a) == [("1", "001"), ("2", "001"), ("3", "003")]
     assert vault.load_hub([(a, HUB, "x.csv")], batches[3]).mode == "incremental"
-    assert hub_keys(vault, a) == [("1", "004"), ("2", "003"), ("3", "003")]
+    assert hub_keys(vault, a) == [("1", "001"), ("2", "001"), ("3", "003")]
+
+
+def test_a_batch_that_does_not_sort_last_is_refused(spark, vault):
+    rows, late = things(spark, (1, 1, "a"), (2, 1, "b")), datetime(2024, 1, 2)
+    vault.load_hub([(rows, HUB, "x.csv")], Batch("9", datetime(2024, 1, 1)))
+    with pytest.raises(ValueError, match="does not sort after"):
+        vault.load_hub([(rows, HUB, "x.csv")], Batch("10", late))
+    assert hub_keys(vault, rows) == [("1", "9"), ("2", "9")]
+    vault.load_hub([(things(spark, (3, 1, "c")), HUB, "x.csv")], Batch("91", late))
+    vault.load_hub([(rows, HUB, "x.csv")], Batch("9", datetime(2024, 1, 1)))  # a stored one may come again
+    assert hub_keys(vault, rows) == [("1", "9"), ("2", "9"), ("3", "91")]
+
+
+def test_rows_that_differ_beside_a_null_are_versions(spark, vault, batches):
+    spec = SatSpec("SAT_N", HUB, ("name", "day"), rule=PASS_NULLS, hash_parent=False)
+    frame = lambda *rows: spark.createDataFrame(rows, "id int, name string, day string")
+    first = frame((1, "a", None), (1, "b", None))
+    vault.load_satellite(first, spec, "x", batches[0])
+    vault.load_satellite(frame((1, "b", None), (1, "c", None)), spec, "x", batches[1])
+    stored = vault.read(spec, first)
+    assert tuples(stored, "name", "HASH_DIFF", "BATCH_ID") == [("a", None, "001"), ("b", None, "001"), ("c", None, "002")]
+
+
+def test_unreadable_cells_keep_their_line(spark, tmp_path):
+    path = str(tmp_path / "x.csv")
+    open(path, "w").write('id,name,year\n1,"say ""hi, you"" now",2001\n2,b,20o9\n3,c\n4,\\N,\\N\n5,,\n')
+    schema = columns(id=INT, name=TEXT, year=INT)
+    rows = {r["id"]: r for r in read_csv(spark, path, schema, report=True).collect()}
+    assert rows[1]["name"] == 'say "hi, you" now' and rows[1]["__RAW_LINE"] is None
+    assert rows[2]["year"] is None and rows[2]["__RAW_LINE"] == "2,b,20o9"
+    assert rows[3]["__RAW_LINE"] == "3,c"
+    assert rows[4]["year"] is None and rows[4]["name"] == "\\N" and rows[4]["__RAW_LINE"] is None
+    assert rows[5]["__RAW_LINE"] is None
+    open(path, "w").write('id,name,year\n1,"two\nlines",5\n')
+    assert tuples(read_csv(spark, path, schema, multi_line=True)) == [(1, "two\nlines", 5)]
 
 
 def test_two_feeds_of_one_batch(spark, vault, batches):

@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from vaultwright.spec import LINK_STANDARD, STANDARD, HashRule
 
 
+# An escaped text never holds a single backslash before an N.
+NULL_MARK = "\\N"
+
+
 def _md5(text: Column) -> Column:
     # Upper-case hexadecimal; a third faster than upper(md5(...)).
     return F.hex(F.unhex(F.md5(text)))
@@ -20,12 +24,12 @@ def text_of(df: DataFrame, name: str, rule: HashRule) -> Column:
     """The text of a column that enters a hash."""
     column, kind = F.col(name), df.schema[name].dataType
     if isinstance(kind, T.StringType):
-        return column
+        return F.replace(F.replace(column, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) if rule.escape else column
     if rule.numerics == "fixed":
         if isinstance(kind, (T.DoubleType, T.FloatType)):
-            # NaN, infinities and values beyond the decimal keep their plain text.
-            fixed = column.try_cast("decimal(18,4)").cast("string")
-            return F.coalesce(fixed, column.cast("string"))
+            # Values with more decimals, NaN, infinities and values beyond the decimal keep their plain text.
+            fixed = column.try_cast("decimal(18,4)")
+            return F.when(fixed.cast(kind) == column, fixed.cast("string")).otherwise(column.cast("string"))
         if isinstance(kind, T.TimestampType):
             return F.unix_micros(column).cast("string")
     return column.cast("string")
@@ -33,6 +37,8 @@ def text_of(df: DataFrame, name: str, rule: HashRule) -> Column:
 
 def _joined(df: DataFrame, columns: Sequence[str], rule: HashRule) -> Column:
     texts = [text_of(df, name, rule) for name in columns]
+    if rule.nulls == "mark":
+        return F.concat_ws(rule.separator, *[F.coalesce(t, F.lit(NULL_MARK)) for t in texts])
     if rule.nulls == "blank":
         return F.concat_ws(rule.separator, *[F.coalesce(t, F.lit("")) for t in texts])
     if rule.nulls == "skip":

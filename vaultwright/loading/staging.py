@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +12,19 @@ from vaultwright.operators.clean import cleanse, fill_defaults
 from vaultwright.spec import StageSpec
 
 
-def stage(raw: DataFrame, spec: StageSpec) -> DataFrame:
-    """Cleanse, parse, rename and default the columns of a raw frame."""
+def stage(raw: DataFrame, spec: StageSpec, keys: Sequence[str] = ()) -> DataFrame:
+    """Cleanse, parse, rename and default the columns of a raw frame.
+
+    ``keys`` names the staged columns that are business keys. They take no default and
+    no blank: a missing one stays NULL, so that its row is rejected instead of loaded
+    under a key that no file held. A date and a time stay beside the timestamp made of
+    them, which is NULL where either is missing.
+    """
+    before = {new: old for old, new in spec.renames.items()}
+    key_names = [before.get(key, key) for key in keys]
     df = cleanse(
         raw,
+        keys=key_names,
         keep_case=spec.keep_case,
         null_marker=spec.null_marker,
         null_int=spec.null_int,
@@ -22,7 +33,13 @@ def stage(raw: DataFrame, spec: StageSpec) -> DataFrame:
     if spec.dates:
         df = df.withColumns({name: parse_date(F.col(name)) for name in spec.dates})
     for name, (date, time) in spec.datetimes.items():
-        df = df.withColumn(name, parse_datetime(F.col(date), F.col(time))).drop(date, time)
+        missing = F.col(time).isin("", spec.null_marker or "\\N")
+        df = df.withColumns({
+            name: parse_datetime(F.col(date), F.col(time)),
+            date: parse_date(F.col(date)),
+            time: F.when(~missing, F.col(time)),
+        })
     if spec.renames:
         df = df.withColumnsRenamed(spec.renames)
-    return fill_defaults(df, spec.defaults) if spec.defaults else df
+    defaults = {name: value for name, value in spec.defaults.items() if name not in keys}
+    return fill_defaults(df, defaults) if defaults else df

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from vaultwright.loading.staging import stage
 from vaultwright.operators.build import (
     finish_sat_rows, hub_rows_from_feeds, link_rows, one_per_version, rejected_rows, sat_hashes, sat_rows_by_count,
+    with_version,
 )
 from vaultwright.operators.joins import fits_broadcast, pack, unpack
-from vaultwright.operators.newrows import new_rows_by_size, new_versions, rows_among
+from vaultwright.operators.newrows import new_rows, new_rows_by_size, new_versions, rows_among
 from vaultwright.operators.views import create_stage_view
 from vaultwright.session import scratch_path
+from vaultwright.sources.csv import RAW_LINE
 from vaultwright.sources.store import FolderStore
 from vaultwright.spec import LOAD_DATE, Batch, HubSpec, LinkSpec, SatSpec, StageSpec
 
@@ -43,24 +45,29 @@ def _stage_table(spec: StageSpec) -> str:
 class Vault:
     """A raw vault in a store. One writer per table at a time.
 
-    With ``refresh`` every load replaces its whole table by the batch instead of
-    adding what is new.
+    With ``refresh`` every load replaces what its feed brought in any batch instead of
+    adding what is new. What other feeds brought to a shared hub stays.
     """
 
     def __init__(self, store: FolderStore, *, refresh: bool = False) -> None:
         self.store, self.refresh = store, refresh
 
-    def stage(self, raw: DataFrame, spec: StageSpec) -> DataFrame:
+    def stage(self, raw: DataFrame, spec: StageSpec, keys: Sequence[str] = ()) -> DataFrame:
         """Refresh the stage table and return it as read back.
 
+        ``keys`` are the business keys, which take no default.
+
         The written table is what the loads of a batch share: the file is scanned
         and cleansed once, and nothing has to be computed again from it when an
         executor is lost.
         """
-        staged = stage(raw, spec)
+        staged = stage(raw, spec, keys)
         self.store.replace_table(_stage_table(spec), staged)
         return self.staged(spec)
 
+    def has_staged(self, spec: StageSpec) -> bool:
+        return self.store.has_table(_stage_table(spec))
+
     def staged(self, spec: StageSpec) -> DataFrame:
         return self.store.read_table(_stage_table(spec))
 
@@ -68,9 +75,15 @@ class Vault:
         """Create or replace the view of a stage table; returns a status text."""
         return create_stage_view(self.staged(spec), spec.name)
 
-    def reject(self, staged: DataFrame, name: str, keys: Sequence[str], batch: Batch) -> None:
-        """Keep the rows that no hub can take, those without a business key."""
-        self.store.replace_batch(f"REJECTED_{name.upper()}", rejected_rows(staged, keys), batch.id, name)
+    def reject(
+        self, staged: DataFrame, name: str, keys: Sequence[str], batch: Batch, unfit: DataFrame | None = None
+    ) -> None:
+        """Keep the rows that no hub can take, those without a business key, and the
+        raw text of the ``unfit`` lines that could not be read."""
+        rows = rejected_rows(staged, keys).withColumn(RAW_LINE, F.lit(None).cast("string"))
+        if unfit is not None:
+            rows = rows.unionByName(unfit.select(RAW_LINE), allowMissingColumns=True)
+        self.store.replace_batch(f"REJECTED_{name.upper()}", rows, batch.id, name)
 
     def load_hub(
         self, feeds: Sequence[tuple[DataFrame, HubSpec, str]], batch: Batch, row_bound: int | None = None
@@ -109,8 +122,13 @@ class Vault:
         if not feed:
             raise ValueError("a load needs the name of its source")
         schema = spec.schema(staged[0].schema)
+        self.store.check_order(spec.name, batch.id)
         if self.refresh:
-            self.store.refresh(spec.name, build(), batch.id, feed, spec.spread)
+            rows = build()
+            if isinstance(spec, HubSpec) and self.store.exists(spec.name, schema):
+                others = self.store.read_other_feeds(spec.name, schema, feed)
+                rows = build(keep=partial(new_rows, target=others, on=spec.match))
+            self.store.refresh(spec.name, rows, batch.id, feed, spec.spread)
             return LoadResult(spec.name, "refresh")
         if not self.store.exists(spec.name, schema):
             self.store.replace_batch(spec.name, build(), batch.id, feed, spec.spread)
@@ -144,7 +162,7 @@ class Vault:
         if fits_broadcast(staged, row_bound, spec.match):
             return build(keep=partial(new_versions, target=target, spec=spec, row_bound=row_bound))
         spark, path = staged.sparkSession, scratch_path(staged.sparkSession, "versions")
-        hashes = sat_hashes(staged, spec)
+        hashes, target = sat_hashes(staged, spec), with_version(target, spec)
         batch_keys, target_keys = hashes.select(*spec.match), target.select(*spec.match, LOAD_DATE)
         if self.store.bucketed:  # the stored side is partitioned by the text already
             fresh = new_versions(batch_keys.distinct(), target_keys, spec)

@@ -24,7 +24,7 @@ from vaultwright.functions.audit import load_date, record_source
 from vaultwright.functions.hashing import hash_diff, hash_key, link_key
 from vaultwright.operators.audit import with_audit
 from vaultwright.operators.joins import equal, fits_broadcast, renamed
-from vaultwright.spec import HASH_DIFF, LOAD_DATE, RECORD_SOURCE, HubSpec, LinkSpec, SatSpec
+from vaultwright.spec import HASH_DIFF, LOAD_DATE, RECORD_SOURCE, STANDARD, VERSION, HubSpec, LinkSpec, SatSpec
 
 RowFilter = Callable[[DataFrame], DataFrame]
 
@@ -94,21 +94,34 @@ def sat_hashes(staged: DataFrame, spec: SatSpec) -> DataFrame:
     present = staged.where(_all_present(keys))
     parent = hash_key(keys[0]) if isinstance(spec.parent, HubSpec) else link_key(present, keys, spec.parent.rule)
     keyed = present.select(parent.alias(spec.hk), *[F.col(c) for c in spec.attributes])
-    hashed = [*spec.attributes, spec.hk] if spec.hash_parent else list(spec.attributes)
-    return keyed.withColumn(HASH_DIFF, hash_diff(keyed, hashed, spec.rule))
+    attributes = spec.hashed or spec.attributes
+    hashed = [*attributes, spec.hk] if spec.hash_parent else list(attributes)
+    return with_version(keyed.withColumn(HASH_DIFF, hash_diff(keyed, hashed, spec.rule)), spec)
+
+
+def with_version(rows: DataFrame, spec: SatSpec) -> DataFrame:
+    """Rows of a satellite with what tells their versions apart.
+
+    Where a NULL passes on to the hash diff, that is a second hash of all attributes
+    that keeps NULLs, so rows that differ elsewhere stay different.
+    """
+    if VERSION not in spec.version:
+        return rows
+    return rows.withColumn(VERSION, F.coalesce(HASH_DIFF, hash_diff(rows, spec.attributes, STANDARD)))
 
 
 def one_per_version(hashes: DataFrame, spec: SatSpec) -> DataFrame:
     """One row per version of a parent.
 
     The hash diff is part of the grouping key, so the versions of one busy parent
-    spread over all tasks. Equal hash diffs can stand for unequal values (NULL and
-    empty text): the smallest row is kept, whatever order the rows arrive in.
+    spread over all tasks. By the older rules equal hash diffs can stand for unequal
+    values (NULL and empty text): the smallest row is kept, whatever order the rows
+    arrive in. By the standard rule equal hashes mean equal rows.
     """
-    others = [c for c in (spec.hk, *spec.attributes) if c not in spec.version]
+    others = [c for c in (spec.hk, HASH_DIFF, *spec.attributes) if c not in spec.version]
     smallest = F.min(F.struct(*others)).alias("row")
     rows = hashes.groupBy(*spec.version).agg(smallest).select(*spec.version, "row.*")
-    return rows.select(spec.hk, HASH_DIFF, *spec.attributes)
+    return rows.select(*dict.fromkeys([spec.hk, HASH_DIFF, *spec.attributes, *spec.version]))
 
 
 def _versions(staged: DataFrame, spec: SatSpec, copies: str) -> DataFrame:

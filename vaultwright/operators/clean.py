@@ -23,19 +23,25 @@ def cleanse(
     null_int: int | None = None,
     round_digits: int | None = 4,
     prefix: str = "",
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Cleanse every column by its type and upper-case the column names.
 
     Text is trimmed and upper-cased unless named in ``keep_case``, and the null
     marker becomes the empty text; floats are rounded; NULL integers become
     ``null_int``. ``prefix`` goes before the upper-cased names, to keep the sides
-    of a join apart.
+    of a join apart. Columns in ``keys`` (upper-cased names) are business keys: a
+    missing, empty or marked one becomes or stays NULL.
     """
     kept = {name.lower() for name in keep_case}
 
     def cleansed(field: T.StructField) -> Column:
         column = F.col(field.name)
-        if isinstance(field.dataType, T.StringType) and field.name.lower() not in kept:
+        if field.name.upper() in keys:
+            if isinstance(field.dataType, T.StringType):
+                column = column if field.name.lower() in kept else clean_text(column)
+                column = F.when(~column.isin("", null_marker or "\\N"), column)
+        elif isinstance(field.dataType, T.StringType) and field.name.lower() not in kept:
             column = clean_text(column)
             if null_marker is not None:
                 column = blank_marker(column, null_marker)

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultwright.operators.build import with_version
 from vaultwright.operators.joins import equal, fits_broadcast, pack, renamed
-from vaultwright.spec import HASH_DIFF, LOAD_DATE, SatSpec
+from vaultwright.spec import LOAD_DATE, VERSION, SatSpec
 
 
 def new_rows(
@@ -74,11 +75,6 @@ def new_rows_by_size(
     return new_rows(batch, target, on, target_unique=target_unique, null_safe=null_safe, packed=packed)
 
 
-def _null_safe(spec: SatSpec) -> tuple[str, ...]:
-    """Only the null-passing rule yields NULL hash diffs."""
-    return (HASH_DIFF,) if spec.rule.nulls == "propagate" else ()
-
-
 def new_versions(
     rows: DataFrame, target: DataFrame, spec: SatSpec, *, row_bound: int | None = None
 ) -> DataFrame:
@@ -86,26 +82,34 @@ def new_versions(
 
     With ``row_bound``, a small batch takes the broadcast form.
     """
-    null_safe = _null_safe(spec)
+    rows = rows if VERSION in rows.columns else with_version(rows, spec)
+    target = target if VERSION in target.columns else with_version(target, spec)
     if spec.policy == "hash_diff" and spec.history == "latest":
-        return changed_since_latest(rows, target, spec.hk, null_safe=null_safe)
+        return changed_since_latest(rows, target, spec.version, row_bound=row_bound)
     unique = spec.policy != "key"
     if row_bound is None:
-        return new_rows(rows, target, spec.match, target_unique=unique, null_safe=null_safe)
+        return new_rows(rows, target, spec.match, target_unique=unique)
     return new_rows_by_size(
-        rows, target, spec.match, row_bound=row_bound, target_unique=unique, null_safe=null_safe
+        rows, target, spec.match, row_bound=row_bound, target_unique=unique
     )
 
 
 def changed_since_latest(
-    rows: DataFrame, target: DataFrame, hk: str, *, null_safe: Sequence[str] = ()
+    rows: DataFrame, target: DataFrame, version: Sequence[str], *, row_bound: int | None = None
 ) -> DataFrame:
     """Rows that differ from what their parent held at its latest load.
 
-    Both aggregates keep only a timestamp per group, so they combine on the map
-    side and no parent's history is gathered in one task.
+    ``version`` is the parent's key and what tells its versions apart. Both aggregates
+    keep only a timestamp per group, so they combine on the map side and no parent's
+    history is gathered in one task. If the keys of at most ``row_bound`` rows fit a
+    broadcast, the target is first filtered to the parents of the batch where it lies:
+    the rest of its history is never shuffled.
     """
-    version = [hk, HASH_DIFF]
+    hk = version[0]
+    target = target.select(*version, LOAD_DATE)
+    if row_bound is not None and fits_broadcast(rows, row_bound, [hk]):
+        wanted = renamed(rows, [hk], "wanted_")
+        target = target.join(F.broadcast(wanted), equal("", "wanted_", [hk]), "left_semi")
     seen = (
         renamed(target, [*version, LOAD_DATE], "seen_")
         .groupBy(*["seen_" + c for c in version])
@@ -113,7 +117,7 @@ def changed_since_latest(
     )
     last = renamed(target, [hk, LOAD_DATE], "last_").groupBy("last_" + hk).agg(F.max("last_" + LOAD_DATE).alias("last"))
     return (
-        rows.join(seen, equal("", "seen_", version, null_safe), "left")
+        rows.join(seen, equal("", "seen_", version), "left")
         .join(last, equal("", "last_", [hk]), "left")
         .where(F.col("seen").isNull() | (F.col("seen") < F.col("last")))
         .select(*rows.columns)
@@ -123,7 +127,7 @@ def changed_since_latest(
 def rows_among(rows: DataFrame, fresh: DataFrame, spec: SatSpec) -> DataFrame:
     """The satellite rows whose version is among the new ones."""
     wanted = renamed(fresh, spec.match, "fresh_")
-    return rows.join(wanted, equal("", "fresh_", spec.match, _null_safe(spec)), "left_semi")
+    return rows.join(wanted, equal("", "fresh_", spec.match), "left_semi")
 
 
 def right_outer_using(target: DataFrame, batch: DataFrame, on: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vaultwright import functions as V
 from vaultwright.plans.cleansing import null_where
-from vaultwright.plans.registry import query, sql_blank, sql_fixed, sql_hk, sql_joined, table
+from vaultwright.plans.registry import query, sql_marked, sql_fixed, sql_hk, sql_joined, table
 from vaultwright.spec import LINK_STANDARD, PASS_NULLS, SKIP_NULLS, STANDARD, HashRule
 
 ATTRIBUTES = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -34,7 +34,7 @@ def hash_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT c_custkey, upper(md5({sql_blank('c_name', 'c_nationkey', sql_fixed('c_acctbal'), 'c_mktsegment')})) AS HASH_DIFF
+    SELECT c_custkey, upper(md5({sql_marked('c_name', 'c_nationkey', sql_fixed('c_acctbal'), 'c_mktsegment')})) AS HASH_DIFF
     FROM {_CUSTOMER}
 """)
 def hash_diff_keep_position(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,9 +53,13 @@ def sql_joined(*expressions: str, sep: str = "||") -> str:
     return f" || '{sep}' || ".join(f"cast({e} as varchar)" for e in expressions)
 
 
-def sql_blank(*expressions: str) -> str:
-    """Concatenation that keeps the position of a NULL as an empty text."""
-    return " || '||' || ".join(f"coalesce(cast({e} as varchar), '')" for e in expressions)
+def sql_escaped(expression: str) -> str:
+    return f"replace(replace(cast({expression} as varchar), '\\', '\\\\'), '|', '\\|')"
+
+
+def sql_marked(*expressions: str) -> str:
+    """Concatenation of escaped texts with a mark for NULL."""
+    return " || '||' || ".join(f"coalesce({sql_escaped(e)}, '\\N')" for e in expressions)
 
 
 def sql_fixed(expression: str) -> str:

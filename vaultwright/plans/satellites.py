@@ -15,7 +15,7 @@ from vaultwright.operators import build, newrows
 from vaultwright.plans.hubs import fresh_vault
 from vaultwright.plans.links import LNK_ITEM, LNK_ORDER, LOADED_THROUGH, SQL_ITEM_HK, SQL_ORDER_HK, loaded_orders
 from vaultwright.plans.registry import (
-    FIRST, SECOND, THIRD, query, sql_audit, sql_blank, sql_fixed, sql_hk, sql_joined, table,
+    FIRST, SECOND, THIRD, query, sql_audit, sql_marked, sql_fixed, sql_hk, sql_joined, table,
 )
 from vaultwright.spec import BATCH_ID, PASS_NULLS, HubSpec, SatSpec
 
@@ -32,7 +32,7 @@ SAT_LNK_ITEM = SatSpec(
     ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"),
 )
 
-_CUSTOMER_DIFF = f"""upper(md5({sql_blank(
+_CUSTOMER_DIFF = f"""upper(md5({sql_marked(
     'c_name', 'c_nationkey', sql_fixed('c_acctbal'), 'c_mktsegment', sql_hk('c_custkey'))}))"""
 
 
@@ -122,7 +122,7 @@ def linksat_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
     SELECT DISTINCT {SQL_ITEM_HK} AS ITEM_HK,
-           upper(md5({sql_blank(
+           upper(md5({sql_marked(
                sql_fixed('l_quantity'), sql_fixed('l_extendedprice'), sql_fixed('l_discount'), sql_fixed('l_tax'),
                'l_returnflag', 'l_linestatus', 'l_shipdate', SQL_ITEM_HK)})) AS HASH_DIFF,
            l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate,

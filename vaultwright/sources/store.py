@@ -8,13 +8,14 @@ prunes the scan to those.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vaultwright.session import scratch_path
 from vaultwright.spec import BATCH_ID, FEED
 
 _MISSING = {
@@ -32,6 +33,12 @@ def _literal(text: str) -> str:
     return f"'{escaped}'"
 
 
+def _of_feed(feed: str) -> Column:
+    """Rows that one of the sources of ``feed`` brought, alone or with others."""
+    own = F.array(*[F.lit(source) for source in feed.split("+")])
+    return F.arrays_overlap(F.split(FEED, r"\+"), own)
+
+
 class FolderStore:
     """Tables below a root folder, in one format (parquet, or delta where installed)."""
 
@@ -67,6 +74,32 @@ class FolderStore:
         batch = F.col(BATCH_ID)
         return self._scan(table, schema).where((batch < batch_id) | ((batch == batch_id) & (F.col(FEED) != feed)))
 
+    def batch_ids(self, table: str) -> set[str]:
+        """The batches a table holds, by the names of its partitions: no data is read."""
+        if self.fmt == "delta":
+            try:
+                return {r[0] for r in self._scan(table, T.StructType()).select(BATCH_ID).distinct().collect()}
+            except AnalysisException as error:
+                if error.getCondition() in _MISSING:
+                    return set()
+                raise
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return set()
+        names = [status.getPath().getName() for status in files.listStatus(folder)]
+        return {unquote(name.removeprefix(f"{BATCH_ID}=")) for name in names if name.startswith(f"{BATCH_ID}=")}
+
+    def check_order(self, table: str, batch_id: str) -> None:
+        """Refuse a new batch whose id does not sort after all stored ones.
+
+        Loads compare with the batches that sort before, so such a batch would take
+        everything stored for unseen. A stored batch may be loaded again.
+        """
+        stored = self.batch_ids(table)
+        if stored and batch_id not in stored and batch_id < max(stored):
+            raise ValueError(f"batch id {batch_id!r} does not sort after {max(stored)!r}, which {table} already holds")
+
     def replace_batch(
         self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str] = ()
     ) -> None:
@@ -83,11 +116,23 @@ class FolderStore:
         part = f"{self.path(table)}/{BATCH_ID}={quote(batch_id, safe='')}/{FEED}={quote(feed, safe='')}"
         rows.write.format(self.fmt).mode("overwrite").save(part)
 
+    def read_other_feeds(self, table: str, schema: T.StructType, feed: str) -> DataFrame:
+        """What a refresh leaves: the rows that only other feeds brought."""
+        return self._scan(table, schema).where(~_of_feed(feed))
+
     def refresh(self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str] = ()) -> None:
-        """Write the rows of one load in place of the whole table."""
+        """Write the rows of one load in place of all that its feed brought in any batch.
+
+        The rows of other feeds are written again beside them, by way of the scratch
+        folder, as a table cannot be read while it is replaced.
+        """
+        new = rows.withColumns({BATCH_ID: F.lit(batch_id), FEED: F.lit(feed)})
+        if self.exists(table, rows.schema):
+            path = scratch_path(self.spark, "refresh")
+            new.unionByName(self.read_other_feeds(table, rows.schema, feed)).write.parquet(path)
+            new = self.spark.read.schema(new.schema).parquet(path)
         (
-            rows.withColumns({BATCH_ID: F.lit(batch_id), FEED: F.lit(feed)})
-            .write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+            new.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "static")
             .partitionBy(BATCH_ID, FEED).save(self.path(table))
         )
 
@@ -95,6 +140,16 @@ class FolderStore:
         """Write a table without batches, such as a stage table, anew."""
         rows.write.format(self.fmt).mode("overwrite").save(self.path(table))
 
+    def has_table(self, table: str) -> bool:
+        """Whether a table without batches was ever written."""
+        try:
+            self.read_table(table)
+        except AnalysisException as error:
+            if error.getCondition() in _MISSING:
+                return False
+            raise
+        return True
+
     def read_table(self, table: str) -> DataFrame:
         """A table without batches."""
         return self.spark.read.format(self.fmt).load(self.path(table))
@@ -123,6 +178,12 @@ class BucketedStore(FolderStore):
             return self.spark.table(self._name(table))
         return super()._scan(table, schema)
 
+    def batch_ids(self, table: str) -> set[str]:
+        if not self.spark.catalog.tableExists(self._name(table)):
+            return super().batch_ids(table)
+        parts = self.spark.sql(f"SHOW PARTITIONS {self._name(table)}").collect()
+        return {unquote(r[0].split("/")[0].removeprefix(f"{BATCH_ID}=")) for r in parts}
+
     def replace_batch(
         self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str] = ()
     ) -> None:
@@ -146,6 +207,13 @@ class BucketedStore(FolderStore):
         )
 
     def refresh(self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str] = ()) -> None:
-        if self.spark.catalog.tableExists(self._name(table)):
-            self.spark.sql(f"TRUNCATE TABLE {self._name(table)}")
+        name = self._name(table)
+        if self.spark.catalog.tableExists(name):
+            path = scratch_path(self.spark, "refresh")
+            rows.write.parquet(path)
+            rows = self.spark.read.schema(rows.schema).parquet(path)
+            for part in self.spark.sql(f"SHOW PARTITIONS {name}").collect():
+                batch, of = (unquote(p.split("=", 1)[1]) for p in part[0].split("/"))
+                if set(of.split("+")) & set(feed.split("+")):
+                    self.spark.sql(f"ALTER TABLE {name} DROP PARTITION ({BATCH_ID} = {_literal(batch)}, {FEED} = {_literal(of)})")
         self.replace_batch(table, rows, batch_id, feed, spread)

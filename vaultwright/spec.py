@@ -14,6 +14,8 @@ LOAD_DATE = "LOAD_DATE"
 HASH_DIFF = "HASH_DIFF"
 BATCH_ID = "BATCH_ID"
 FEED = "FEED"
+# What tells versions apart where the hash diff is NULL; never stored.
+VERSION = "__VERSION"
 
 AUDIT_FIELDS = [
     T.StructField(RECORD_SOURCE, T.StringType()),
@@ -35,28 +37,32 @@ _PLAIN_NAME = re.compile(r"[A-Za-z0-9_.\-]+")
 class HashRule:
     """How columns become the text that is hashed.
 
-    nulls:    ``blank`` keeps the position with an empty text, ``skip`` leaves the
-              column out, ``propagate`` makes the whole hash NULL.
-    numerics: ``fixed`` writes floating point with four decimals, so the text does
-              not depend on an engine's double formatting; ``plain`` casts.
+    nulls:    ``mark`` writes a mark that no text can equal, ``blank`` keeps the position
+              with an empty text, ``skip`` leaves the column out, ``propagate`` makes the
+              whole hash NULL.
+    numerics: ``fixed`` writes floating point with four decimals where that is the whole
+              value, so the text does not depend on an engine's double formatting;
+              ``plain`` casts.
+    escape:   texts are escaped, so that none can hold the separator or the mark.
     """
 
     separator: str = "||"
     nulls: str = "blank"
     numerics: str = "fixed"
+    escape: bool = False
 
     def __post_init__(self) -> None:
-        if self.nulls not in ("blank", "skip", "propagate"):
+        if self.nulls not in ("mark", "blank", "skip", "propagate"):
             raise ValueError(f"unknown null rule {self.nulls!r}")
         if self.numerics not in ("fixed", "plain"):
             raise ValueError(f"unknown numeric rule {self.numerics!r}")
 
 
-STANDARD = HashRule()
+STANDARD = HashRule(nulls="mark", escape=True)
 # The two older conventions: no separator, NULLs left out or passed on.
 SKIP_NULLS = HashRule(separator="", nulls="skip", numerics="plain")
 PASS_NULLS = HashRule(separator="", nulls="propagate", numerics="plain")
-LINK_STANDARD = HashRule(separator="||", nulls="propagate", numerics="plain")
+LINK_STANDARD = HashRule(separator="||", nulls="propagate", numerics="plain", escape=True)
 
 
 @dataclass(frozen=True)
@@ -185,6 +191,7 @@ class SatSpec:
              not seen before.
     history: ``any`` compares with all stored versions, ``latest`` with the newest,
              so that a return to an old value is a new version.
+    hashed:  the attributes that enter the hash diff, if not all.
     """
 
     name: str
@@ -194,6 +201,7 @@ class SatSpec:
     hash_parent: bool = True
     policy: str = "hash_diff"
     history: str = "any"
+    hashed: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.policy not in ("hash_diff", "key"):
@@ -217,8 +225,9 @@ class SatSpec:
     def version(self) -> list[str]:
         """What tells one version from another: the hash diff alone where it covers
         the parent, half the bytes to shuffle."""
-        covers_parent = self.hash_parent and self.rule.nulls != "propagate"
-        return [HASH_DIFF] if covers_parent and self.history == "any" else [self.hk, HASH_DIFF]
+        if self.rule.nulls == "propagate":
+            return [self.hk, VERSION]
+        return [HASH_DIFF] if self.hash_parent and self.history == "any" else [self.hk, HASH_DIFF]
 
     @property
     def match(self) -> list[str]:
@@ -226,7 +235,7 @@ class SatSpec:
 
     @property
     def spread(self) -> list[str]:
-        return self.version
+        return [HASH_DIFF if c == VERSION else c for c in self.version]
 
     def schema(self, staged: T.StructType) -> T.StructType:
         return T.StructType([
