@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,17 @@ def bounded_broadcast(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
+def tidy(run: Callable) -> Callable:
+    """``run`` over the Arrow batches of a task, which hands back the memory of the batches
+    at its end: a Python worker lives on while other stages need the room."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return tidied
+
+
 def text_key(text: Column) -> Column:
     """128 bits that stand for a text; of a null text those of an empty one."""
     return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwright.llm.common import written
+from vaultwright.llm.common import tidy, written
 from vaultwright.llm.spans import SPANS, Span, arrow_spans, counts, digest, of_kind
 
 BASE = ("email", "ip", "card", "phone")
@@ -200,7 +200,7 @@ def disclosing_terms(found: DataFrame, texts: DataFrame, *, threshold: float, su
         .filter(F.col("n_texts") >= support)
     )
     pairs = written(pairs, "disclosure-pairs")
-    words = texts.select("text").mapInArrow(_document_counts(bitmap(pairs)), "term string, n long")
+    words = texts.select("text").mapInArrow(tidy(_document_counts(bitmap(pairs))), "term string, n long")
     words = words.groupBy("term").agg(F.sum("n").alias("n_term"))
     tells = F.log2(F.col("n_pair") * F.lit(float(n_docs)) / (F.col("n_entity") * F.col("n_term")))
     information = -F.log2(F.col("n_entity") / F.lit(float(n_docs)))
@@ -230,11 +230,11 @@ def personal_spans(docs: DataFrame, *, threshold: float = 0.9, support: int = 3)
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).select("doc_id", F.sha2("text", 256).alias("text_key"), "text")
     found = written(texts.mapInArrow(
-        _personal_rows, f"doc_id long, text_key string, spans {SPANS}, entities array<string>, terms array<string>"
+        tidy(_personal_rows), f"doc_id long, text_key string, spans {SPANS}, entities array<string>, terms array<string>"
     ), "personal")
     terms = written(disclosing_terms(found, texts, threshold=threshold, support=support), "disclosing")
     marked = texts.select("text_key", "text").mapInArrow(
-        _marked_words(bitmap(terms)), "text_key string, term string, start long, end long"
+        tidy(_marked_words(bitmap(terms))), "text_key string, term string, start long, end long"
     )
     places = (
         marked.join(terms, "term").groupBy("text_key", "start", "end").agg(F.max("disclosure").alias("disclosure"))

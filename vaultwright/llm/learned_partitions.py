@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vaultwright.llm.common import table, written
+from vaultwright.llm.common import table, tidy, written
 
 
 @dataclass(frozen=True)
@@ -187,7 +187,7 @@ def _placed(vectors: DataFrame, router: Router | None, probes: int) -> DataFrame
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(best[:, 0]), probed], names=["vec_id", "vector", "part", "probed"])
 
-    return vectors.mapInArrow(run, "vec_id long, vector array<double>, part int, probed array<int>")
+    return vectors.mapInArrow(tidy(run), "vec_id long, vector array<double>, part int, probed array<int>")
 
 
 def nearest_in_block(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:

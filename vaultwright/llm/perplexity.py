@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwright.llm.common import bounded_broadcast, table, text_key, written
+from vaultwright.llm.common import bounded_broadcast, table, text_key, tidy, written
 
 ORDER = 4
 BEGIN, ASTRAL = 0x02, 0xFFFF
@@ -228,14 +228,14 @@ def perplexities(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995,
         "doc_id", "lang", (good & held).alias("held_out"), text_key(F.col("text")).alias("text_key"),
         (good & ~held).alias("trusted"), "text")
     counts = written(
-        rows.select("text", "trusted").mapInArrow(_count_runs, "run long, n long, n_trusted long")
+        rows.select("text", "trusted").mapInArrow(tidy(_count_runs), "run long, n long, n_trusted long")
         .groupBy("run").agg(F.sum("n").alias("n"), F.sum("n_trusted").alias("c")), "run-counts")
     model = train(counts.filter("c > 0"))
     known = written(log_probabilities(counts.select("run", "n"), model), "log-probabilities")
     top = known.orderBy(F.desc("n"), "run").limit(head).select("run", "logp").toPandas().sort_values("run")
     scored = written(
         rows.mapInArrow(
-            _score(top["run"].to_numpy(np.int64), top["logp"].to_numpy(np.float64), 5, 4),
+            tidy(_score(top["run"].to_numpy(np.int64), top["logp"].to_numpy(np.float64), 5, 4)),
             "doc_id long, lang string, held_out boolean, text_key binary, n_tokens long, head double, "
             "runs array<long>, times array<long>",
         ).withColumn("row", F.monotonically_increasing_id()), "scored")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from vaultwright.llm.common import bounded_broadcast, written
+from vaultwright.llm.common import bounded_broadcast, tidy, written
 from vaultwright.llm.components import component_roots
 
 SEED = 42
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
             found = pa.array([simhash(text.as_py() or "", words) for text in batch.column(at)], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "__fp"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def segments(most_bits: int) -> list[tuple[int, int]]:

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vaultwright.llm.common import tidy
+
 SPAN = "struct<kind:string,start:long,end:long>"
 SPANS = f"array<{SPAN}>"
 _ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -29,7 +31,7 @@ def find_spans(docs: DataFrame, finder: Finder) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), arrow_spans(found)], names=["doc_id", "spans"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id long, spans {SPANS}")
+    return rows.mapInArrow(tidy(run), f"doc_id long, spans {SPANS}")
 
 
 def of_kind(spans: Column, *kinds: str) -> Column:

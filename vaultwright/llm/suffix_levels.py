@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwright.llm.common import bounded_broadcast, table, text_key, written
+from vaultwright.llm.common import bounded_broadcast, table, text_key, tidy, written
 
 LENGTH = 200
 ANCHOR = 40
@@ -151,7 +151,7 @@ class LevelFamily:
     def add(self, texts: DataFrame) -> None:
         """Index a batch (column ``text``) and scan it together with the levels."""
         self._merge()
-        counted = texts.select("text").mapInArrow(_count_entries(self.length, self.anchor), "anchor long, covered long, n long")
+        counted = texts.select("text").mapInArrow(tidy(_count_entries(self.length, self.anchor)), "anchor long, covered long, n long")
         new = written(counted.groupBy("anchor", "covered").agg(F.sum("n").alias("n")).sortWithinPartitions("anchor", "covered"), "level")
         self.levels.append((0, new))
         every = new
@@ -288,10 +288,10 @@ def _repeats(hits: DataFrame, length: int) -> DataFrame:
     hot = written(differing.groupBy(F.col("anchor").alias("hot")).agg(F.count("*").alias("c")).filter(F.col("c") > HOT_CLASSES), "hot-anchors")
     hot = bounded_broadcast(hot.select("hot"), hot.count(), MOST_BROADCAST_ROWS)
     few = differing.join(hot, F.col("anchor") == F.col("hot"), "left_anti").repartition("anchor").sortWithinPartitions("anchor")
-    few = few.mapInArrow(_resolve(length), REPEATS)
+    few = few.mapInArrow(tidy(_resolve(length)), REPEATS)
     # Anchors with more classes than a task should hold: their windows meet by hash, in all tasks.
     many = differing.join(hot, F.col("anchor") == F.col("hot"), "left_semi")
-    windows = many.mapInArrow(_explode_windows(length), "anchor long, covered long, step int, window long")
+    windows = many.mapInArrow(tidy(_explode_windows(length)), "anchor long, covered long, step int, window long")
     again = windows.groupBy(F.col("window").alias("again")).agg(F.count("*").alias("c")).filter("c > 1")
     single = windows.join(again, F.col("window") == F.col("again")).select("anchor", "covered", "step")
     several = many.filter("n > 1").select("anchor", "covered", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("step"))
@@ -367,7 +367,7 @@ def without_repeats(docs: DataFrame, *, length: int = LENGTH, anchor: int = ANCH
     family = LevelFamily(length, anchor)
     for n in range(batches):
         family.add(rows.filter(F.pmod(F.xxhash64("text"), F.lit(batches)) == n))
-    hits = written(rows.select("key", "text").mapInArrow(_hits(family), HITS), "hits")
+    hits = written(rows.select("key", "text").mapInArrow(tidy(_hits(family)), HITS), "hits")
     repeats = _repeats(hits, length)
     found = hits.select("key", "first", "anchor", "covered").join(repeats, ["anchor", "covered"]).select(
         "key", "first", F.explode("ranges").alias("r"))
@@ -375,9 +375,9 @@ def without_repeats(docs: DataFrame, *, length: int = LENGTH, anchor: int = ANCH
         (F.col("first") + F.col("r.a")).cast("long").alias("s"), (F.col("first") + F.col("r.b") + length).cast("long").alias("e"))
     ).alias("ranges")), "ranges")
     high = F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")
-    marked = rows.mapInArrow(_with_text(_bitmap(ranges, high, BITMAP_BITS)), "doc_id long, key binary, n_bytes long, raw binary, sha string")
+    marked = rows.mapInArrow(tidy(_with_text(_bitmap(ranges, high, BITMAP_BITS))), "doc_id long, key binary, n_bytes long, raw binary, sha string")
     return marked.join(ranges, "key", "left").select("doc_id", "key", "n_bytes", "raw", "sha", "ranges").mapInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<s:long,e:long>>, kept_sha256 string, kept binary")
+        tidy(_cut), "doc_id long, n_bytes long, n_removed long, spans array<struct<s:long,e:long>>, kept_sha256 string, kept binary")
 
 
 def repeats_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vaultwright.llm.common import tidy
 from vaultwright.session import scratch_path
 
 HEAD, FRAME, CHECK = "<qBII", "<QI", "<I"
@@ -106,12 +107,13 @@ class PartEncoder:
     """Token ids of whole texts by a byte-level vocabulary of the tokenizers library.
 
     Texts repeat their words, and cutting a text into pieces takes longer than merging
-    them, so the ids of each distinct part are remembered, ``most_parts`` of them at most.
+    them, so the ids of each distinct part are remembered: ``most_parts`` recent ones and
+    as many before them, of which those still in use move over.
     What is encoded does not depend on it. Texts with runs of white space, and parts
     beyond plain letters, digits and signs, go through the library as a whole.
     """
 
-    def __init__(self, tokenizer_path: str, most_parts: int = 1_000_000):
+    def __init__(self, tokenizer_path: str, most_parts: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
@@ -128,6 +130,7 @@ class PartEncoder:
         self.letters = str.maketrans({chr(b): letter for b, letter in _byte_letters().items()})
         self.most_parts = most_parts
         self.parts: dict[str, bytes | bool] = {}
+        self.older: dict[str, bytes | bool] = {}
         self.code = "H" if self.width == 2 else "I"
 
     def _bytes(self, ids: list[int]) -> bytes:
@@ -153,10 +156,13 @@ class PartEncoder:
         known = self.parts.get(part)
         if known is None:
             if len(self.parts) >= self.most_parts:
-                self.parts.clear()
-            whole = part if part[:1] == "\n" else f" {part}"
-            odd = not part or part == "\n" or SPACE.search(whole, 1)
-            known = self.parts[part] = False if odd else self._part(whole)
+                self.parts, self.older = {}, self.parts
+            known = self.older.get(part)
+            if known is None:
+                whole = part if part[:1] == "\n" else f" {part}"
+                odd = not part or part == "\n" or SPACE.search(whole, 1)
+                known = False if odd else self._part(whole)
+            self.parts[part] = known
         return known
 
     def encode(self, text: str) -> bytes:
@@ -242,7 +248,7 @@ def write_records(docs: DataFrame, tokenizer_path: str, *, end_id: int = 2, fold
         .select("doc_id", "text")
     )
     index = f"{folder}/index"
-    dealt.mapInArrow(_writer(folder, tokenizer_path, end_id), INDEX_SCHEMA).withColumn(
+    dealt.mapInArrow(tidy(_writer(folder, tokenizer_path, end_id)), INDEX_SCHEMA).withColumn(
         "part", F.spark_partition_id()
     ).write.parquet(index)
     return folder, spark.read.schema(f"{INDEX_SCHEMA}, part int").parquet(index)
@@ -287,7 +293,7 @@ def read_records(spark: SparkSession, folder: str, index: DataFrame) -> DataFram
     before = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)
     placed = files.select("file", "n_records", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return placed.repartition(tasks, "file").mapInArrow(_reader(folder), READ_SCHEMA)
+    return placed.repartition(tasks, "file").mapInArrow(tidy(_reader(folder)), READ_SCHEMA)
 
 
 def read_at(folder: str, file: str, byte_offset: int) -> tuple[int | None, np.ndarray]:
