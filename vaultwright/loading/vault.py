@@ -15,13 +15,14 @@ from vaultwright.operators.build import (
     finish_sat_rows, hub_rows_from_feeds, link_rows, one_per_version, rejected_rows, sat_hashes, sat_rows_by_count,
     with_version,
 )
+from vaultwright.operators.checks import violations
 from vaultwright.operators.joins import fits_broadcast, pack, unpack
 from vaultwright.operators.newrows import new_rows, new_rows_by_size, new_versions, rows_among
 from vaultwright.operators.views import create_stage_view
 from vaultwright.session import scratch_path
 from vaultwright.sources.csv import RAW_LINE
 from vaultwright.sources.store import FolderStore
-from vaultwright.spec import LOAD_DATE, Batch, HubSpec, LinkSpec, SatSpec, StageSpec
+from vaultwright.spec import BATCH_ID, FEED, LOAD_DATE, Batch, HubSpec, LinkSpec, SatSpec, StageSpec
 
 
 @dataclass(frozen=True)
@@ -85,6 +86,19 @@ class Vault:
             rows = rows.unionByName(unfit.select(RAW_LINE), allowMissingColumns=True)
         self.store.replace_batch(f"REJECTED_{name.upper()}", rows, batch.id, name)
 
+    def check(self, spec: StageSpec, batch: Batch) -> DataFrame:
+        """Check the stage table against its declared constraints; returns what was
+        written to ``VIOLATIONS_<stage>``. Parents are the stage tables there are."""
+        parents = {
+            column: (self.store.read_table(f"STAGE_{parent.upper()}"), key)
+            for column, (parent, key) in spec.foreign_keys.items() if self.store.has_table(f"STAGE_{parent.upper()}")
+        }
+        found = violations(
+            self.staged(spec), primary_key=spec.primary_key, not_null=spec.not_null, lengths=spec.lengths, parents=parents)
+        table = f"VIOLATIONS_{spec.name.upper()}"
+        self.store.replace_batch(table, found, batch.id, spec.name)
+        return self.store.read(table, found.schema).where((F.col(BATCH_ID) == batch.id) & (F.col(FEED) == spec.name)).select(*found.columns)
+
     def load_hub(
         self, feeds: Sequence[tuple[DataFrame, HubSpec, str]], batch: Batch, row_bound: int | None = None
     ) -> LoadResult:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from vaultwright.functions.audit import load_date, record_source
 from vaultwright.functions.hashing import hash_diff, hash_key, link_key
 from vaultwright.operators.audit import with_audit
-from vaultwright.operators.joins import equal, fits_broadcast, renamed
+from vaultwright.operators.joins import ROW_BYTES, broadcast_limit, equal, renamed
 from vaultwright.spec import HASH_DIFF, LOAD_DATE, RECORD_SOURCE, STANDARD, VERSION, HubSpec, LinkSpec, SatSpec
 
 RowFilter = Callable[[DataFrame], DataFrame]
@@ -137,15 +137,18 @@ def _versions_by_count(staged: DataFrame, spec: SatSpec) -> DataFrame:
     keys = spec.parent_keys
     counts = staged.where(_all_present(keys)).groupBy(*keys).agg(F.count("*").alias("n"))
     repeated = F.col("n") > 1
+    # Business keys are texts of any length: what a broadcast would hold is measured.
+    key_bytes = sum((F.octet_length(F.col(k).cast("string")) + F.lit(ROW_BYTES) for k in keys), F.lit(0))
     total = counts.agg(
         F.count("*").alias("parents"),
         F.count_if(repeated).alias("repeated"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.when(repeated, F.col("n"))), F.lit(0)).alias("repeated_rows"),
+        F.coalesce(F.sum(F.when(repeated, key_bytes)), F.lit(0)).alias("repeated_bytes"),
     ).first()
     if not total["repeated"]:
         return _versions(staged, spec, "none")
-    if 2 * total["repeated_rows"] <= total["rows"] and fits_broadcast(staged, total["repeated"], keys):
+    if 2 * total["repeated_rows"] <= total["rows"] and total["repeated_bytes"] <= broadcast_limit(staged):
         again = renamed(counts.where(repeated), keys, "again_")
         once = staged.join(F.broadcast(again), equal("", "again_", keys), "left_anti")
         more = staged.join(F.broadcast(again), equal("", "again_", keys), "left_semi")

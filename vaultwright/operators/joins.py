@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # Upper bound of one key column of a row in a broadcast relation: 32 characters,
 # row header and hash map entry.
 KEY_BYTES = 128
+# The same without the text of the key.
+ROW_BYTES = 96
 
 
 def broadcast_limit(df: DataFrame) -> int:

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultwright import functions as V
-from vaultwright.loading.motorsport import run_files
+from vaultwright.loading.motorsport import LNK_CIRCUITS_CONSTRUCTOR, RACES, load_circuits_constructor, run_files
 from vaultwright.plans.hubs import HUB_ORDER, fresh_vault
-from vaultwright.plans.jobs import _circuits, _races
+from vaultwright.plans.jobs import _circuits, _races, _results
 from vaultwright.plans.links import LNK_ORDER
 from vaultwright.plans.registry import FIRST, SECOND, query, sql_escaped, sql_hk, sql_joined, table
 from vaultwright.session import scratch_path
@@ -158,3 +158,37 @@ def csv_bad_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_csv(table(spark, sf_dir, "orders").select("o_orderkey", price.alias("o_totalprice")), path)
     read = read_csv(spark, path, columns(o_orderkey=LONG, o_totalprice=REAL), report=True)
     return read.select("o_orderkey", "o_totalprice", F.col(RAW_LINE).alias("raw_line"))
+
+
+_FEW = "(SELECT s_suppkey FROM supplier)"
+
+
+@query(f"""
+    SELECT 'foreign_key' AS rule, 'CIRCUITID' AS column_name, cast(o_custkey as varchar) AS key, count(*) AS row_count
+    FROM orders WHERE o_custkey NOT IN {_FEW} GROUP BY o_custkey
+    UNION ALL SELECT 'primary_key', 'RACEID', cast(o_orderkey as varchar), 2 FROM orders WHERE o_orderstatus = 'P'
+    UNION ALL SELECT 'length', 'NAME', NULL, n FROM (SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'P') WHERE n > 0
+""")
+def job_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared constraints of the staged races: orphans, repeated keys, names too long."""
+    vault, folder = fresh_vault(spark), scratch_path(spark, "raw")
+    write_csv(_circuits(table(spark, sf_dir, "supplier")), f"{folder}/circuits.csv")
+    orders = table(spark, sf_dir, "orders")
+    again = _races(orders.where("o_orderstatus = 'P'")).withColumn("circuitId", F.lit(None).cast("long")).withColumn("name", F.repeat(F.lit("x"), F.lit(300)))
+    write_csv(_races(orders).unionByName(again), f"{folder}/races.csv")
+    run_files(spark, vault, folder, FIRST, ["circuits", "races"])
+    return vault.check(RACES, FIRST).where("rule <> 'not_null'")
+
+
+@query(f"""
+    SELECT DISTINCT {sql_hk('o_custkey')} AS CIRCUIT_HK, {sql_hk('l_suppkey')} AS CONSTRUCTOR_HK,
+           upper(md5({sql_joined('o_custkey', 'l_suppkey')})) AS CIRCUIT_CONSTRUCTOR_HK
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+""")
+def job_circuit_constructor_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vault, folder = fresh_vault(spark), scratch_path(spark, "raw")
+    write_csv(_races(table(spark, sf_dir, "orders")), f"{folder}/races.csv")
+    write_csv(_results(table(spark, sf_dir, "lineitem")), f"{folder}/results.csv")
+    run_files(spark, vault, folder, FIRST, ["races", "results"])
+    load_circuits_constructor(vault, FIRST)
+    return spark.read.parquet(vault.store.path(LNK_CIRCUITS_CONSTRUCTOR.name)).select(*LNK_CIRCUITS_CONSTRUCTOR.columns[:3])
