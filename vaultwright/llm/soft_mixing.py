@@ -40,10 +40,10 @@ def label_domains(labels: DataFrame) -> DataFrame:
 
 
 def _tokens(docs: DataFrame) -> DataFrame:
-    """``row``, ``doc_id``, ``text_key``, ``n_tokens`` and the distinct ``features`` of every document.
+    """``row``, ``doc_id``, ``text_key``, ``n_tokens`` and the ``features`` of every document.
 
     Features are the tokens between white space and the last two letters of each, as
-    hashes.
+    hashes; some may come twice.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     split = docs.select(
@@ -51,8 +51,8 @@ def _tokens(docs: DataFrame) -> DataFrame:
         text_key(text).alias("text_key"), F.array_remove(F.split(text, r"\s+", -1), "").alias("tokens"))
     distinct = split.select(
         "row", "doc_id", "text_key", F.size("tokens").cast("long").alias("n_tokens"), F.array_distinct("tokens").alias("tokens"))
-    endings = F.array_distinct(F.transform("tokens", lambda t: F.concat(F.lit(" "), F.right(t, F.lit(2)))))
-    features = F.array_distinct(F.transform(F.concat("tokens", endings), lambda f: F.xxhash64(f)))
+    features = F.concat(
+        F.transform("tokens", lambda t: F.xxhash64(t)), F.transform("tokens", lambda t: F.xxhash64(F.right(t, F.lit(2)), F.lit(2))))
     return distinct.select("row", "doc_id", "text_key", "n_tokens", features.alias("features"))
 
 
@@ -63,7 +63,8 @@ def _telling(tokens: DataFrame, sample: DataFrame, least_g: float, n: Mapping[st
     documents, by a G statistic of ``least_g``; its gain is that statistic per document.
     """
     total = max(sum(n.values()), 1)
-    seen = tokens.join(F.broadcast(sample), F.col("doc_id") == F.col("labelled")).select("domain", F.explode("features").alias("feature"))
+    seen = tokens.join(F.broadcast(sample), F.col("doc_id") == F.col("labelled")).select(
+        "domain", F.explode(F.array_distinct("features")).alias("feature"))
     counts = seen.groupBy("feature").agg(*[F.sum((F.col("domain") == d).cast("long")).alias(d) for d in DOMAINS])
     having = sum((F.col(d) for d in DOMAINS[1:]), F.col(DOMAINS[0]))
     g = 2 * sum((F.when(F.col(d) > 0, F.col(d) * F.log(F.col(d) * total / (max(n[d], 1) * having))).otherwise(0.0) for d in DOMAINS), F.lit(0.0))
@@ -86,12 +87,17 @@ def classify(docs: DataFrame, labels: DataFrame, *, sample: int = 50_000, least_
     counted = {r.domain: r.n for r in chosen.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     n = {d: counted.get(d, 0) for d in DOMAINS}
     prior = {d: (n[d] + 1) / (sum(n.values()) + len(DOMAINS)) for d in DOMAINS}
-    tokens = _tokens(docs)
-    telling = _telling(tokens, chosen, least_g, n)
+    # Only documents of the sample are cut for the choice of features.
+    sampled = docs.join(F.broadcast(chosen.select("labelled")), F.col("doc_id").cast("long") == F.col("labelled"), "left_semi")
+    telling = _telling(_tokens(sampled), chosen, least_g, n)
     keys = ["row", "doc_id", "text_key", "n_tokens"]
-    # At most one row per telling feature of the sample is broadcast, however many documents there are.
+    # The telling features of the sample, however many documents there are: they pick
+    # what a document has of them before it is laid out in rows.
+    list_of = [r.feature for r in telling.select("feature").orderBy("feature").collect()]
+    tokens = _tokens(docs)
+    had = F.array_intersect("features", F.array(*[F.lit(f) for f in list_of]).cast("array<long>"))
     ruled = written(
-        tokens.select(*keys, F.explode_outer("features").alias("feature"))
+        tokens.select(*keys, F.explode_outer(had).alias("feature"))
         .join(F.broadcast(telling.select("feature", "gain")), "feature", "left").groupBy(*keys)
         .agg(F.max(F.when(F.col("gain").isNotNull(), F.struct("gain", "feature"))).alias("rule"))
         .select(*keys, F.coalesce("rule.feature", F.lit(-1).cast("long")).alias("rule")), "rules")
