@@ -73,13 +73,15 @@ def hub_after_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT DISTINCT {sql_hk('o_orderkey')} AS ORDER_HK, cast(o_orderkey as varchar) AS ORDER_BK,
-           {sql_audit('ORDERS.CSV', SECOND)}, '{SECOND.id}' AS BATCH_ID
-    FROM orders
+    SELECT *, '{FIRST.id}' AS BATCH_ID FROM ({_STORED}) AS stored
+    UNION ALL
+    SELECT *, '{SECOND.id}' AS BATCH_ID FROM ({_NEW}) AS added
 """)
 def hub_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A refresh replaces what its file brought before; what another file brought stays."""
     vault, orders = fresh_vault(spark), table(spark, sf_dir, "orders")
     vault.load_hub([(table(spark, sf_dir, "lineitem"), HUB_ORDER_OF_ITEM, "lineitem.csv")], FIRST)
+    vault.load_hub([(orders.withColumn("o_orderkey", -F.col("o_orderkey") - 1), HUB_ORDER, "orders.csv")], FIRST)
     Vault(vault.store, refresh=True).load_hub([(orders, HUB_ORDER, "orders.csv")], SECOND)
     return vault.read(HUB_ORDER, orders).select(*HUB_ORDER.columns, BATCH_ID)
 
