@@ -201,6 +201,28 @@ def test_terms_that_give_an_entity_away(spark):
     assert clean[150] == rows[150][1]
 
 
+def test_terms_give_away_an_entity_of_one_text(spark):
+    rng = random.Random(15)
+    rows = [(n, words(rng, 12, 400)) for n in range(4000)]
+    # Near terms of one text each, one of them also elsewhere; a far one; a near one of three more texts.
+    first = f"Solo1 Quorlax77 shared9 ann@mail.example.com {words(rng, 60, 400)} farword8"
+    rows += [(5000, first), (5001, first), (5002, f"{words(rng, 6, 400)} quorlax77"), (5003, f"farword8 {words(rng, 6, 400)}")]
+    rows += [(5004 + n, f"shared9 {words(rng, 6, 400)}") for n in range(3)]
+    # Three texts with the entity, none without it: the term names it, however far.
+    rows += [(5010 + n, f"bob@mail.example.com {words(rng, 40, 400)} onlybob") for n in range(3)]
+    docs = documents(spark, rows)
+    got = {r.doc_id: ([tuple(s) for s in r.spans], list(r.disclosure)) for r in disclosure.personal_spans(docs).collect()}
+    n = len({text for _, text in rows})
+    told = {r[0]: [text[s:e].lower() for k, s, e in got[r[0]][0] if k == "term"] for r in rows for text in [r[1]]}
+    assert told[5000] == told[5001] == told[5002] == ["quorlax77"] and told[5010] == told[5011] == told[5012] == ["onlybob"]
+    assert not any(told[r[0]] for r in rows if r[0] not in (5000, 5001, 5002, 5010, 5011, 5012))
+    # One word lies between term and entity: no accident with 16 of 17.
+    want = np.log2((16 / 17 / 2 + 1 / 17 / n) * n) / np.log2(n)
+    assert got[5002][1] == [pytest.approx(want, rel=1e-9)] and got[5010][1] == [1.0]
+    clean = {r.doc_id: r.text for r in disclosure.sanitised(docs).collect()}
+    assert clean[5002].endswith(" [code]") and "onlybob" not in clean[5010]
+
+
 def test_personal_data_of_nothing(spark):
     assert disclosure.personal_spans(documents(spark, [])).count() == 0
 
