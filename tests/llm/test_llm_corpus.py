@@ -244,6 +244,19 @@ def test_mixing_learns_the_domains(spark):
     assert soft_mixing.mixed(docs, labels(spark, [])).columns == docs.columns
 
 
+@pytest.mark.parametrize("every", [100, 8])
+def test_nothing_toxic_is_mixed_in(spark, every):
+    rng = random.Random(16)
+    toxic = {n for n in range(2000) if n % every == 3}
+    poor = {n for n in range(2000) if n % 10 == 4} - toxic
+    rows = [(n, words(rng, 30, 300) + (" vile" if n in toxic else " junk" if n in poor else "")) for n in range(2000)]
+    marks = [(n, int(n not in poor), int(n in toxic)) for n in range(1600)]
+    got = soft_mixing.mixing_rates(documents(spark, rows), labels(spark, marks)).collect()
+    assert all(r.rate == 0 and r.copies == 0 for r in got if r.doc_id in toxic)
+    clean = [r for r in got if r.doc_id not in toxic | poor]
+    assert sum(r.copies > 0 for r in clean) >= 0.97 * len(clean)
+
+
 # Neighbours
 
 
