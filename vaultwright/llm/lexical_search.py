@@ -101,7 +101,8 @@ def search_bucket(
                 value[rows[at[term]]] = impacts[at[term]] / safe[rows[at[term]]]
             # Where a coordinate has to lie for the cosine to be within reach.
             spread = math.sqrt(max(0.0, (1 - cosine * cosine) * (1 - share * share)))
-            alive &= (value >= share * cosine - spread - 1e-6) & (value <= share * cosine + spread + 1e-6)
+            highest = 1.0 if share >= cosine else share * cosine + spread
+            alive &= (value >= share * cosine - spread - 1e-6) & (value <= highest + 1e-6)
             partial += share * value
             seen += share * share
             met += value * value
