@@ -138,8 +138,8 @@ def _ordered(texts: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _fragment(place: Column) -> Column:
-    """The fragment of the global order: a rarity and a quarter of the hashes."""
-    return place.rarity.cast("int") * 4 + F.shiftrightunsigned(place.gram, 62).cast("int")
+    """The fragment of the global order: four neighbouring rarities, the hashes of one in order."""
+    return F.shiftright(place.rarity.cast("int"), 2)
 
 
 def _fragments(ordered: DataFrame) -> DataFrame:
