@@ -289,3 +289,12 @@ def test_simhash_of_nothing(spark):
 
 def test_digest_of_no_span_is_that_of_no_text():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_long_runs_of_digits_are_no_obstacle():
+    from vaultwright.llm.disclosure import find_personal
+
+    zeros = "0" * 5000
+    assert find_personal(f"{zeros}.1.2.3") == [("ip", 0, 5006)]
+    assert find_personal(f"{zeros}255.01.2.{zeros}") == [("ip", 0, 10009)]
+    assert find_personal(f"1.2.3.{zeros}256") == [] and find_personal("9" * 5000 + ".1.2.3") == []

@@ -78,10 +78,16 @@ def _emails(text: str) -> list[Span]:
     return spans
 
 
+def _at_most_255(part: str) -> bool:
+    """Whether digits, with any number of leading zeros, make a number of at most 255."""
+    part = part.lstrip("0")
+    return len(part) < 3 or len(part) == 3 and int(part) <= 255
+
+
 def find_personal(text: str) -> list[Span]:
     """The spans of the four pattern kinds, by kind, then start."""
     spans = _emails(text)
-    spans += [("ip", *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    spans += [("ip", *m.span()) for m in IP.finditer(text) if all(_at_most_255(p) for p in m[0].split("."))]
     for m in CARD.finditer(text):
         digits = NOT_DIGIT.sub("", m[0]) if m.end() - m.start() >= 13 else ""
         if 13 <= len(digits) <= 19 and luhn(digits):
