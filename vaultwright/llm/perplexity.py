@@ -260,13 +260,19 @@ def perplexities(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995,
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, head: int = 1 << 17) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns. Equal texts of one language share their fate."""
+    """The rows of ``docs`` that are kept, all columns, whatever their names.
+
+    Equal texts of one language share their fate. Null and empty texts have no perplexity and go;
+    a null language is a language of its own; repeated rows stay or go together; without
+    labels every text with a word stays. Without rows the result is empty.
+    """
     found = perplexities(docs, labels, quantile=quantile, head=head)
     gone = written(
-        found.filter(~F.col("keep")).select(F.col("text_key").alias("__key"), F.col("lang").alias("__lang")).distinct(), "rejected")
-    keyed = docs.withColumn("__text_key", text_key(F.col("text")))
-    same = (F.col("__text_key") == F.col("__key")) & F.col("lang").cast("string").eqNullSafe(F.col("__lang"))
-    return keyed.join(bounded_broadcast(gone, gone.count(), MOST_BROADCAST_ROWS), same, "left_anti").select(*docs.columns)
+        found.filter(~F.col("keep")).select("text_key", F.col("lang").alias("of")).distinct(), "rejected")
+    # The caller's columns travel as one, so none of their names can clash.
+    rows = docs.select(F.struct("*").alias("doc"))
+    same = (text_key(F.col("doc.text")) == F.col("text_key")) & F.col("doc.lang").cast("string").eqNullSafe(F.col("of"))
+    return rows.join(bounded_broadcast(gone, gone.count(), MOST_BROADCAST_ROWS), same, "left_anti").select("doc.*")
 
 
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:

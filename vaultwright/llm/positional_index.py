@@ -183,10 +183,11 @@ def without_contaminated(docs: DataFrame, items: DataFrame, *, window: int = WIN
     by their text, and those that go are taken out where the others lie.
     """
     found = contamination(docs, items, window=window).filter("contaminated")
-    gone = written(found.select(F.col("text_key").alias("__gone")).distinct(), "contaminated")
-    return docs.withColumn("__key", text_key(F.col("text"))).join(
-        bounded_broadcast(gone, gone.count(), MOST_BROADCAST_ROWS), F.col("__key") == F.col("__gone"), "left_anti"
-    ).select(*docs.columns)
+    gone = written(found.select("text_key").distinct(), "contaminated")
+    # The caller's columns travel as one, so none of their names can clash.
+    return docs.select(F.struct("*").alias("doc")).join(
+        bounded_broadcast(gone, gone.count(), MOST_BROADCAST_ROWS), text_key(F.col("doc.text")) == F.col("text_key"), "left_anti"
+    ).select("doc.*")
 
 
 def contamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:

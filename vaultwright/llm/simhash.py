@@ -153,17 +153,17 @@ def one_of_each(docs: DataFrame, *, words: int = 3, most_bits: int = 3) -> DataF
     All columns stay. The rows are written once with their fingerprints; the rows that go
     are found by number and taken out where the others lie.
     """
-    columns = docs.columns
-    numbered = fingerprints(docs, words).select(
-        "__fp", F.monotonically_increasing_id().alias("__row"), *columns)
+    # The caller's columns travel as one, so none of their names can clash.
+    rows = docs.select(F.struct("*").alias("doc"), F.col("text").cast("string").alias("text"))
+    numbered = fingerprints(rows, words).select("__fp", F.monotonically_increasing_id().alias("__row"), "doc")
     kept = written(numbered, "simhash-rows")
     # Null ids come last: a row with an id is kept before one without.
-    order = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
+    order = F.struct(F.col("doc.doc_id").isNull().alias("no"), F.col("doc.doc_id").alias("id"), F.col("__row").alias("row"))
     ranked = kept.select("__fp", order.alias("place"))
     ids = _component_ids(ranked, most_bits, "place").select("fp", F.col("component_id.row").alias("stays"))
     rows = kept.select("__row", "__fp")
     gone = written(rows.join(ids, rows["__fp"] == ids.fp).filter(F.col("__row") != F.col("stays")).select("__row"), "gone")
-    return kept.join(bounded_broadcast(gone, gone.count(), MOST_BROADCAST_ROWS), "__row", "left_anti").select(*columns)
+    return kept.join(bounded_broadcast(gone, gone.count(), MOST_BROADCAST_ROWS), "__row", "left_anti").select("doc.*")
 
 
 def near_duplicates_query(spark: SparkSession, sf_dir: str) -> DataFrame:

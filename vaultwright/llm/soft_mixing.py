@@ -5,13 +5,12 @@ each domain: the most telling feature that a document has decides, with the shar
 the domains among labelled documents that the same feature decides. Every document gets
 a rate: how often it is to be used. The rates r >= 0 minimise by projected gradient steps
 
-    sum over domains of (sum over documents of r n p - target)^2 / (tokens of the domain)
+    sum over domains of (sum over documents of r n p - target)^2
 
 with n the document's tokens and p its probability of the domain. All rates start at 1,
-so documents change no more than the targets ask. A domain without a target is no goal of
-the fit, where its traces in all other documents would thin those out: documents that
-most likely belong to it get rate 0, the others are fitted to the other domains. Per step only one sum per domain
-reaches the driver. Everything is DataFrame operations.
+so documents change no more than the targets ask. All domains weigh alike: the traces of an unwanted
+domain in all other documents do not thin those out, only documents that are mostly of
+it fall to rate 0. Per step only one sum per domain reaches the driver. Everything is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -25,9 +24,11 @@ from pyspark.sql import functions as F
 from vaultwright.llm.common import bounded_broadcast, table, text_key, written
 
 DOMAINS = ("good", "poor", "toxic")
-# Nothing toxic is asked for. Some poor text is: good documents hold a little of it by their
-# posterior, and a goal below that would thin them out with the poor ones.
+# Shares of the tokens asked for: nothing toxic, a little poor text.
 TARGETS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
+ONLY_GOOD = {"good": 1.0, "poor": 0.0, "toxic": 0.0}
+# A rate this near to a whole number is taken for it when copies are counted out.
+NEARLY = 0.1
 MOST_BROADCAST_ROWS = 1_000_000
 
 
@@ -95,14 +96,11 @@ def classify(docs: DataFrame, labels: DataFrame, *, sample: int = 50_000, least_
     sampled = docs.join(F.broadcast(chosen.select("labelled")), F.col("doc_id").cast("long") == F.col("labelled"), "left_semi")
     telling = _telling(_tokens(sampled), chosen, least_g, n)
     keys = ["row", "doc_id", "text_key", "n_tokens"]
-    # The telling features of the sample, however many documents there are: they pick
-    # what a document has of them before it is laid out in rows.
-    list_of = [r.feature for r in telling.select("feature").orderBy("feature").collect()]
-    tokens = _tokens(docs)
-    had = F.array_intersect("features", F.array(*[F.lit(f) for f in list_of]).cast("array<long>"))
+    each = _tokens(docs).select(*keys, F.explode_outer("features").alias("feature"))
+    gains = bounded_broadcast(telling.select("feature", "gain"), telling.count(), MOST_BROADCAST_ROWS)
+    # Each row's features are reduced to one before the shuffle.
     ruled = written(
-        tokens.select(*keys, F.explode_outer(had).alias("feature"))
-        .join(F.broadcast(telling.select("feature", "gain")), "feature", "left").groupBy(*keys)
+        each.join(gains, "feature", "left").groupBy(*keys)
         .agg(F.max(F.when(F.col("gain").isNotNull(), F.struct("gain", "feature"))).alias("rule"))
         .select(*keys, F.coalesce("rule.feature", F.lit(-1).cast("long")).alias("rule")), "rules")
     decided = ruled.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).groupBy("rule").agg(
@@ -111,86 +109,90 @@ def classify(docs: DataFrame, labels: DataFrame, *, sample: int = 50_000, least_
         docs.sparkSession.range(1).select(F.lit(-1).cast("long").alias("rule"), *[F.lit(prior[d]).alias("share_" + d) for d in DOMAINS]))
     shares = written(known.join(decided, "rule", "left").select("rule", *[
         ((F.coalesce("decided_" + d, F.lit(0)) + pull * F.col("share_" + d)) / (F.coalesce("n", F.lit(0)) + pull)).alias(d) for d in DOMAINS]), "shares")
-    return ruled.join(F.broadcast(shares), "rule").drop("rule")
+    return written(ruled.join(bounded_broadcast(shares, shares.count(), MOST_BROADCAST_ROWS), "rule").drop("rule"), "members")
 
 
-def fit_rates(members: DataFrame, targets: Mapping[str, float], *, most_steps: int = 100, tolerance: float = 1e-5) -> DataFrame:
+def fit_rates(members: DataFrame, targets: Mapping[str, float], *, most_steps: int = 200, tolerance: float = 1e-5) -> DataFrame:
     """``members`` (``n_tokens`` and a probability per domain) with its ``rate``.
 
     ``targets`` are tokens per domain. Each step starts a little ahead of the rates, in
-    the direction they moved (Nesterov's rule). Steps end when all domains are within
-    ``tolerance`` of all target tokens, or do not move for three steps. Every eighth step
+    the direction they moved (Nesterov's rule). Steps end when every domain is within
+    ``tolerance`` of its target (of its size, if larger), or, where no rates reach the targets, moves by less
+    than three hundredths of that for three steps; after ``most_steps`` without either it is an error. Every eighth step
     the rates are written, so a plan never grows longer than that.
     """
     domains = list(targets)
-    n = F.col("n_tokens")
-    sums = [F.coalesce(F.sum(n * F.col(d)), F.lit(0.0)) for d in domains]
-    products = [F.coalesce(F.sum(n * F.col(a) * F.col(b)), F.lit(0.0)) for a in domains for b in domains]
-    members = members.withColumns({"rate": F.lit(1.0), "ahead": F.lit(1.0)})
-    first = members.agg(*sums, *products).first()
-    k = len(domains)
-    size = np.maximum(np.array(first[:k], dtype=float), 1.0)
-    # The steepest curvature over all rates: one step of its inverse never overshoots.
-    curvature = np.array(first[k:], dtype=float).reshape(k, k) / np.sqrt(np.outer(size, size))
-    step = 1.0 / max(float(np.linalg.eigvalsh(curvature)[-1]), 1e-9)
+    n, k = F.col("n_tokens"), len(domains)
     goal = np.array([targets[d] for d in domains], dtype=float)
+    present = members.agg(*[F.coalesce(F.sum(n * F.col(d)), F.lit(0.0)) for d in domains]).first()
+    size = np.maximum(np.maximum(np.array(present, dtype=float), goal), 1.0)
+    # A document moves in inverse proportion to the size of its domains: a rare domain
+    # settles in as few steps as a large one. The objective stays as it is.
+    pace = sum((F.col(d) * float(v) for d, v in zip(domains[1:], size[1:], strict=True)), F.col(domains[0]) * float(size[0]))
+    members = members.withColumns({"pace": F.greatest(pace, F.lit(1.0)), "rate": F.lit(1.0), "ahead": F.lit(1.0)})
+    products = members.agg(*[F.coalesce(F.sum(n * F.col(a) * F.col(b) / F.col("pace")), F.lit(0.0)) for a in domains for b in domains]).first()
+    # The steepest curvature over all rates: one step of its inverse never overshoots.
+    step = 1.0 / max(float(np.linalg.eigvalsh(np.array(products, dtype=float).reshape(k, k))[-1]), 1e-9)
     speed, before, still = 1.0, np.full(k, np.inf), 0
     for done in range(1, most_steps + 1):
         totals = members.agg(*[F.coalesce(F.sum(F.col(c) * n * F.col(d)), F.lit(0.0)) for c in ("rate", "ahead") for d in domains]).first()
         reached, looked_at = np.array(totals[:k], dtype=float), np.array(totals[k:], dtype=float)
-        pull = step * (looked_at - goal) / size
-        still = still + 1 if np.abs(reached - before).max() <= 1e-3 * tolerance * goal.sum() else 0
-        if np.abs(reached - goal).max() <= tolerance * goal.sum() or still == 3:
-            break
+        still = still + 1 if (np.abs(reached - before) / size).max() <= 0.03 * tolerance else 0
+        if (np.abs(reached - goal) / size).max() <= tolerance or still == 3:
+            return written(members.drop("ahead", "pace"), "rates")
         before = reached
+        pull = step * (looked_at - goal)
         change = sum((F.col(d) * float(v) for d, v in zip(domains[1:], pull[1:], strict=True)), F.col(domains[0]) * float(pull[0]))
         faster = (1 + (1 + 4 * speed * speed) ** 0.5) / 2
-        members = members.withColumn("next", F.greatest(F.col("ahead") - change, F.lit(0.0)))
+        members = members.withColumn("next", F.greatest(F.col("ahead") - change / F.col("pace"), F.lit(0.0)))
         members = members.withColumn("ahead", F.col("next") + (F.col("next") - F.col("rate")) * ((speed - 1) / faster))
         members = members.withColumn("rate", F.col("next")).drop("next")
         speed = faster
         if done % 8 == 0:
             members = written(members, "rates")
-    return written(members.drop("ahead"), "rates")
+    raise RuntimeError(f"rates still move after {most_steps} steps: {dict(zip(domains, reached, strict=True))} for {dict(targets)}")
 
 
 def mixing_rates(
-    docs: DataFrame, labels: DataFrame, *, targets: Mapping[str, float] = TARGETS, whole: str = "good", room: float = 1.06, sample: int = 50_000
+    docs: DataFrame, labels: DataFrame, *, targets: Mapping[str, float] = TARGETS, whole: str = "good", sample: int = 50_000,
+    tolerance: float = 0.03,
 ) -> DataFrame:
     """Every row of ``docs`` with its domain probabilities, ``rate`` and ``copies``.
 
-    ``targets`` are shares of the tokens; as many tokens are asked for as make the domain
-    ``whole`` ``room`` times its present size, so that few of its documents round to none. ``copies`` is the rate rounded up or down by a hash of
-    the id, so that it equals the rate on average. Of a domain with target 0, documents
-    more likely of it than of any domain that is asked for get rate 0.
+    ``targets`` are shares of the tokens, of all ``DOMAINS``; as many tokens are asked for as
+    keep the domain ``whole`` at its present size. Each total comes within ``tolerance`` of its
+    target or, if larger, of the present size of its domain: traces in other domains are not chased, which
+    would cost documents that are merely in doubt. ``copies`` is the rate where that is within
+    ``NEARLY`` of a whole number, else rounded up or down by a hash of the id, so that it equals
+    the rate on average.
 
     Null and empty texts have no tokens and do not weigh on the fit. Null ids are no
     labels' documents; rows of one id round alike; repeated rows each count. Without rows
     the result is empty. Only ``doc_id`` and ``text`` are read.
     """
+    if set(targets) != set(DOMAINS) or targets[whole] <= 0:
+        raise ValueError(f"targets must name {DOMAINS}, with some of {whole}")
     members = classify(docs, labels, sample=sample)
-    wanted = [d for d in DOMAINS if targets.get(d, 0.0) > 0]
-    unwanted = [d for d in DOMAINS if d not in wanted]
-    never = F.array_max(F.array(F.lit(0.0), *map(F.col, unwanted))) > F.array_max(F.array(*map(F.col, wanted)))
-    out, members = members.filter(never), members.filter(~never)
     present = members.agg(F.coalesce(F.sum(F.col("n_tokens") * F.col(whole)), F.lit(0.0))).first()[0]
-    total = room * present / targets[whole] * sum(targets.values())
-    goals = {d: total * targets[d] / sum(targets.values()) for d in wanted}
-    rated = fit_rates(members, goals).unionByName(out.withColumn("rate", F.lit(0.0)))
+    rated = fit_rates(members, {d: present * targets[d] / targets[whole] for d in DOMAINS}, tolerance=tolerance)
     chance = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
-    return rated.withColumn("copies", F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long"))
+    near = F.abs(F.col("rate") - F.round("rate")) <= NEARLY
+    drawn = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")
+    return rated.withColumn("copies", F.when(near, F.round("rate").cast("long")).otherwise(drawn))
 
 
 def mixed(docs: DataFrame, labels: DataFrame, *, targets: Mapping[str, float] = TARGETS, whole: str = "good") -> DataFrame:
-    """The rows of ``docs`` as often as ``copies`` says, all columns."""
+    """The rows of ``docs`` as often as ``copies`` says, all columns, whatever their names.
+
+    Rows of one id and text have the same copies; null ids and texts are kept apart from others.
+    """
     rates = mixing_rates(docs, labels, targets=targets, whole=whole)
-    changed = written(
-        rates.filter("copies != 1").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("copies").alias("__copies"))
-        .distinct(), "copies")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key"))
-    joined = docs.withColumn("__text_key", text_key(F.col("text"))).join(bounded_broadcast(changed, changed.count(), MOST_BROADCAST_ROWS), same, "left")
-    times = F.coalesce("__copies", F.lit(1)).cast("int")
-    return joined.filter(times > 0).select(*docs.columns, F.explode(F.array_repeat(F.lit(True), times)).alias("__copy")).drop("__copy")
+    changed = written(rates.filter("copies != 1").select("doc_id", "text_key", "copies").distinct(), "copies")
+    rows = docs.select(F.struct("*").alias("row"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc_id")) & (text_key(F.col("row.text")) == F.col("text_key"))
+    joined = rows.join(bounded_broadcast(changed, changed.count(), MOST_BROADCAST_ROWS), same, "left")
+    times = F.coalesce("copies", F.lit(1)).cast("int")
+    return joined.filter(times > 0).select("row", F.explode(F.array_repeat(F.lit(True), times))).select("row.*")
 
 
 def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
