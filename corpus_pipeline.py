@@ -12,7 +12,7 @@ from vaultwright.llm.common import Query, table, written
 from vaultwright.llm.perplexity import quality_filter
 from vaultwright.llm.positional_index import without_contaminated
 from vaultwright.llm.simhash import one_of_each
-from vaultwright.llm.soft_mixing import mixed
+from vaultwright.llm.soft_mixing import ONLY_GOOD, mixed
 from vaultwright.llm.token_records import token_records
 
 
@@ -32,8 +32,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the target weights of their domains ask."""
-    return mixed(docs, table(spark, sf_dir, "labels"))
+    """Documents as often as the fit asks for good tokens only: poor and toxic ones go, none multiplies."""
+    return mixed(docs, table(spark, sf_dir, "labels"), targets=ONLY_GOOD)
 
 
 def binary_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,6 +53,8 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``. Null and empty texts go in the first; repeated rows are
+    copies of each other in the second; no documents give no records; extra columns travel along."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
