@@ -9,20 +9,22 @@ from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from vaultwright.loading.staging import stage
 from vaultwright.operators.build import (
-    finish_sat_rows, hub_rows_from_feeds, link_rows, one_per_version, rejected_rows, sat_hashes, sat_rows_by_count,
+    finish_sat_rows, hub_rows, hub_rows_from_feeds, keep_all, link_rows, one_per_version, rejected_rows, sat_hashes, sat_rows_by_count,
     with_version,
 )
-from vaultwright.operators.checks import violations
-from vaultwright.operators.joins import fits_broadcast, pack, unpack
+from vaultwright.operators.checks import pk_violations, violations
+from vaultwright.operators.joins import equal, fits_broadcast, pack, renamed, unpack
 from vaultwright.operators.newrows import new_rows, new_rows_by_size, new_versions, rows_among
+from vaultwright.operators.surrogate import surrogate_key
 from vaultwright.operators.views import create_stage_view
 from vaultwright.session import scratch_path
 from vaultwright.sources.csv import RAW_LINE
 from vaultwright.sources.store import FolderStore
-from vaultwright.spec import BATCH_ID, FEED, LOAD_DATE, Batch, HubSpec, LinkSpec, SatSpec, StageSpec
+from vaultwright.spec import BATCH_ID, FEED, HASH_DIFF, LOAD_DATE, RECORD_SOURCE, Batch, HubSpec, LinkSpec, SatSpec, StageSpec
 
 
 @dataclass(frozen=True)
@@ -99,18 +101,96 @@ class Vault:
         self.store.replace_batch(table, found, batch.id, spec.name)
         return self.store.read(table, found.schema).where((F.col(BATCH_ID) == batch.id) & (F.col(FEED) == spec.name)).select(*found.columns)
 
+    def number(self, rows: DataFrame, keys: Sequence[str], name: str, source: str, batch: Batch, *, column: str = "ID") -> DataFrame:
+        """``rows`` with a surrogate id that a key keeps over all batches.
+
+        The ids are kept in the table ``IDS_<name>``. Keys that no earlier batch held get the
+        numbers after the highest there is, in key order; a repeated batch gets the same
+        again. NULL is a key like any other. One source numbers a table.
+        """
+        table, keyed = f"IDS_{name.upper()}", rows.select(*keys).distinct()
+        schema = StructType([*keyed.schema.fields, StructField(column, LongType())])
+        self.store.check_order(table, batch.id)
+        start, new = 1, keyed
+        if self.store.exists(table, schema):
+            held = self.store.read_others(table, schema, batch.id, source)
+            start = (held.agg(F.max(column)).first()[0] or 0) + 1
+            new = new_rows(keyed, held, keys, null_safe=keys)
+        self.store.replace_batch(table, surrogate_key(new, keys, column, start=start), batch.id, source)
+        ids = self.store.read(table, schema).where(F.col(BATCH_ID) <= batch.id)
+        same = equal("", "id_", keys, keys)
+        return rows.join(renamed(ids, [*keys, column], "id_"), same).select(F.col("id_" + column).alias(column), *rows.columns)
+
+    def check_table(self, spec: HubSpec | LinkSpec | SatSpec, staged: StructType, batch: Batch) -> DataFrame:
+        """Check what one batch stored in a vault table; returns what was written to ``VIOLATIONS_<table>``.
+
+        Its key must be unique over the whole table, no key, hash or audit column may be
+        NULL, and hashes have 32 characters at most. Of the batches before only the keys are read, those
+        of this batch where they lie if it is small.
+        """
+        stored = self.store.read(spec.name, spec.schema(staged))
+        rows = stored.where(F.col(BATCH_ID) == batch.id)
+        key = [spec.hk, HASH_DIFF] if isinstance(spec, SatSpec) else [spec.hk]
+        hashes = [c for c in spec.columns if c.endswith("_HK") or c == HASH_DIFF]
+        found = violations(rows, not_null=[*dict.fromkeys([*hashes, RECORD_SOURCE, LOAD_DATE])], lengths=dict.fromkeys(hashes, 32))
+        own = rows.select(*key).distinct()
+        bound = rows.count()
+        own = F.broadcast(own) if fits_broadcast(own, bound, key) else own
+        repeated = pk_violations(stored.where(F.col(BATCH_ID) <= batch.id).select(*key).join(own, key, "left_semi"), key)
+        found = found.unionByName(repeated.select(
+            F.lit("primary_key").alias("rule"), F.lit(",".join(key)).alias("column_name"), F.concat_ws("||", *key).alias("key"), "row_count"))
+        table = f"VIOLATIONS_{spec.name.upper()}"
+        self.store.replace_batch(table, found, batch.id, spec.name)
+        return self.store.read(table, found.schema).where((F.col(BATCH_ID) == batch.id) & (F.col(FEED) == spec.name)).select(*found.columns)
+
     def load_hub(
-        self, feeds: Sequence[tuple[DataFrame, HubSpec, str]], batch: Batch, row_bound: int | None = None
+        self, feeds: Sequence[tuple[DataFrame, HubSpec, str]], batch: Batch, row_bound: int | None = None, *,
+        shared: bool = False,
     ) -> LoadResult:
         """Load a hub from its sources (staged frame, hub on its key, source name).
 
+        A hub that files of several jobs feed is ``shared``: beside it is kept which feed ever
+        brought which key, so that a refresh of one feed takes no key that another holds.
+
         ``row_bound``, here and below, is the row count of the staged frames where
         the caller has it already.
         """
         feed = "+".join(source for _, _, source in feeds)
         build = partial(hub_rows_from_feeds, feeds, batch.ts)
+        if shared:
+            for feed_of_one in feeds:
+                self._remember(*feed_of_one, batch, row_bound)
         return self._load(feeds[0][1], build, [staged for staged, _, _ in feeds], feed, batch, row_bound)
 
+    def _members(self, hub: HubSpec) -> str:
+        return f"FEEDS_{hub.name}"
+
+    def _remember(self, staged: DataFrame, hub: HubSpec, source: str, batch: Batch, row_bound: int | None) -> None:
+        """Write down the keys that the feed brings and has not brought before; a refresh forgets the others."""
+        table, schema = self._members(hub), hub.schema(staged.schema)
+        if self.refresh:
+            self.store.refresh(table, hub_rows(staged, hub, source, batch.ts), batch.id, source, hub.spread)
+            return
+        keep = keep_all
+        if self.store.exists(table, schema):
+            target = self.store.read_others(table, schema, batch.id, source).where(F.col(FEED) == source)
+            bound = staged.count() if row_bound is None else row_bound
+            keep = partial(_new_keys, target=target, on=hub.match, row_bound=bound, packed=not self.store.bucketed)
+        self.store.replace_batch(table, hub_rows(staged, hub, source, batch.ts, keep=keep), batch.id, source, hub.spread)
+
+    def _held_by_others(self, hub: HubSpec, schema: StructType, rows: DataFrame, feed: str) -> DataFrame | None:
+        """Hub rows of the keys that only the refreshed feed had stored, but other feeds have brought as
+        well, as the first of these brought them."""
+        if not self.store.exists(self._members(hub), schema):
+            return None
+        first = F.min(F.struct(BATCH_ID, FEED, *[c for c in hub.columns if c != hub.hk])).alias("first")
+        members = self.store.read_other_feeds(self._members(hub), schema, feed).groupBy(hub.hk).agg(first)
+        there = self.store.read_other_feeds(hub.name, schema, feed).select(hub.hk).union(rows.select(hub.hk))
+        kept = new_rows(members.select(hub.hk, "first.*"), there, hub.match).select(*hub.columns, BATCH_ID, FEED)
+        path = scratch_path(kept.sparkSession, "kept")
+        kept.write.parquet(path)
+        return kept.sparkSession.read.schema(kept.schema).parquet(path)
+
     def load_link(
         self, staged: DataFrame, spec: LinkSpec, source: str, batch: Batch, row_bound: int | None = None
     ) -> LoadResult:
@@ -138,11 +218,12 @@ class Vault:
         schema = spec.schema(staged[0].schema)
         self.store.check_order(spec.name, batch.id)
         if self.refresh:
-            rows = build()
+            rows, kept = build(), None
             if isinstance(spec, HubSpec) and self.store.exists(spec.name, schema):
                 others = self.store.read_other_feeds(spec.name, schema, feed)
                 rows = build(keep=partial(new_rows, target=others, on=spec.match))
-            self.store.refresh(spec.name, rows, batch.id, feed, spec.spread)
+                kept = self._held_by_others(spec, schema, rows, feed)
+            self.store.refresh(spec.name, rows, batch.id, feed, spec.spread, kept)
             return LoadResult(spec.name, "refresh")
         if not self.store.exists(spec.name, schema):
             self.store.replace_batch(spec.name, build(), batch.id, feed, spec.spread)

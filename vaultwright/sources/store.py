@@ -3,10 +3,17 @@
 A load replaces only its own partition, so a retry leaves the same table as one
 load did. What it compares with is every other partition up to its batch; Spark
 prunes the scan to those.
+
+Parquet tables are published at once. A load writes a folder of its own inside the
+partition; then one small file in ``_published`` names the folders that make up the
+table from now on. A load that dies in between leaves the table as it was, and a
+reader never sees half of one. Read a table through its store, not by its path.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from urllib.parse import quote, unquote
 
@@ -33,6 +40,29 @@ def _literal(text: str) -> str:
     return f"'{escaped}'"
 
 
+def _partition(batch_id: str, feed: str) -> str:
+    # Spark reads percent-escaped partition folders back as plain text.
+    return f"{BATCH_ID}={quote(batch_id, safe='')}/{FEED}={quote(feed, safe='')}"
+
+
+def _batch_and_feed(folder: str) -> tuple[str, str]:
+    """What the name of a published folder says it holds."""
+    batch, feed = folder.split("/")[:2]
+    return unquote(batch.removeprefix(f"{BATCH_ID}=")), unquote(feed.removeprefix(f"{FEED}="))
+
+
+def _share_source(feed: str, other: str) -> bool:
+    return bool(set(feed.split("+")) & set(other.split("+")))
+
+
+def _by_partition(rows: DataFrame | None) -> list[tuple[tuple[str, str], DataFrame]]:
+    """Rows apart by their batch and feed: at most one part for each load there was."""
+    if rows is None:
+        return []
+    places = rows.select(BATCH_ID, FEED).distinct().collect()
+    return [((b, f), rows.where((F.col(BATCH_ID) == b) & (F.col(FEED) == f)).drop(BATCH_ID, FEED)) for b, f in sorted(map(tuple, places))]
+
+
 def _of_feed(feed: str) -> Column:
     """Rows that one of the sources of ``feed`` brought, alone or with others."""
     own = F.array(*[F.lit(source) for source in feed.split("+")])
@@ -50,11 +80,79 @@ class FolderStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _scan(self, table: str, schema: T.StructType) -> DataFrame:
+    def _files(self, path: str):
+        """The Hadoop file system of a path, and the path as it names it."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _names(self, path: str) -> list[str]:
+        files, path = self._files(path)
+        return [status.getPath().getName() for status in files.listStatus(path)] if files.exists(path) else []
+
+    def published(self, table: str) -> list[str] | None:
+        """The folders that make up a table, below its own; None if it was never published."""
+        numbers = sorted(name for name in self._names(f"{self.path(table)}/_published") if name.isdigit())
+        if not numbers:
+            return None
+        files, path = self._files(f"{self.path(table)}/_published/{numbers[-1]}")
+        stream = files.open(path)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
+        finally:
+            stream.close()
+
+    def _current(self, table: str) -> list[str]:
+        """The published folders; of a table written before there were any, its partitions."""
+        folders = self.published(table)
+        if folders is not None:
+            return folders
+        batches = [name for name in self._names(self.path(table)) if name.startswith(f"{BATCH_ID}=")]
+        return [f"{batch}/{feed}" for batch in batches for feed in self._names(f"{self.path(table)}/{batch}") if feed.startswith(f"{FEED}=")]
+
+    def publish(self, table: str, folders: Sequence[str]) -> None:
+        """Make ``folders`` the table, in one step: a complete file takes its place under the next number.
+
+        A number that is taken means that another writer was at work, which is an error.
+        Folders that neither this nor the last publication names are deleted; the last ones stay
+        for readers that have begun.
+        """
+        root = f"{self.path(table)}/_published"
+        numbers = sorted(name for name in self._names(root) if name.isdigit())
+        before = self.published(table) or []
+        files, draft = self._files(f"{root}/_{uuid.uuid4().hex}")
+        stream = files.create(draft, False)
+        stream.write(bytearray(json.dumps(sorted(folders)).encode("utf-8")))
+        stream.close()
+        number = f"{int(numbers[-1]) + 1 if numbers else 0:020d}"
+        _, target = self._files(f"{root}/{number}")
+        if files.exists(target) or not files.rename(draft, target):
+            raise RuntimeError(f"another writer published {table} as number {number}")
+        for old in self._replaced(table, numbers, {*before, *folders}):
+            files.delete(self._files(f"{self.path(table)}/{old}")[1], True)
+
+    def _replaced(self, table: str, numbers: Sequence[str], kept: set[str]) -> list[str]:
+        """Folders that the publication before the last named, and that are of no more use."""
+        if len(numbers) < 2:
+            return []
+        files, path = self._files(f"{self.path(table)}/_published/{numbers[-2]}")
+        if not files.exists(path):
+            return []
+        stream = files.open(path)
+        try:
+            named = json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
+        finally:
+            stream.close()
+        return [folder for folder in named if folder not in kept]
+
+    def _scan(self, table: str, schema: T.StructType | None) -> DataFrame:
         reader = self.spark.read.format(self.fmt)
-        if self.fmt != "delta":  # a delta table carries its schema
+        if schema is not None and self.fmt != "delta":  # a delta table carries its schema
             reader = reader.schema(_stored(schema))
-        return reader.load(self.path(table))
+        folders = None if self.fmt == "delta" else self.published(table)
+        if folders is None:
+            return reader.load(self.path(table))
+        paths = [f"{self.path(table)}/{folder}" for folder in folders]
+        return reader.option("basePath", self.path(table)).load(paths)
 
     def exists(self, table: str, schema: T.StructType) -> bool:
         """Whether the table was ever written. Any other failure is raised."""
@@ -83,12 +181,7 @@ class FolderStore:
                 if error.getCondition() in _MISSING:
                     return set()
                 raise
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(folder):
-            return set()
-        names = [status.getPath().getName() for status in files.listStatus(folder)]
-        return {unquote(name.removeprefix(f"{BATCH_ID}=")) for name in names if name.startswith(f"{BATCH_ID}=")}
+        return {_batch_and_feed(folder)[0] for folder in self._current(table)}
 
     def check_order(self, table: str, batch_id: str) -> None:
         """Refuse a new batch whose id does not sort after all stored ones.
@@ -112,33 +205,52 @@ class FolderStore:
                 .save(self.path(table))
             )
             return
-        # Spark reads percent-escaped partition folders back as plain text.
-        part = f"{self.path(table)}/{BATCH_ID}={quote(batch_id, safe='')}/{FEED}={quote(feed, safe='')}"
-        rows.write.format(self.fmt).mode("overwrite").save(part)
+        part = _partition(batch_id, feed)
+        others = [folder for folder in self._current(table) if _batch_and_feed(folder) != (batch_id, feed)]
+        self.publish(table, [*others, self._written(table, rows, part)])
+
+    def _written(self, table: str, rows: DataFrame, part: str) -> str:
+        """A new folder with the rows, not yet part of the table."""
+        folder = f"{part}/v{uuid.uuid4().hex}" if part else f"v{uuid.uuid4().hex}"
+        rows.write.format(self.fmt).save(f"{self.path(table)}/{folder}")
+        return folder
 
     def read_other_feeds(self, table: str, schema: T.StructType, feed: str) -> DataFrame:
         """What a refresh leaves: the rows that only other feeds brought."""
         return self._scan(table, schema).where(~_of_feed(feed))
 
-    def refresh(self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str] = ()) -> None:
+    def refresh(
+        self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str] = (), kept: DataFrame | None = None
+    ) -> None:
         """Write the rows of one load in place of all that its feed brought in any batch.
 
-        The rows of other feeds are written again beside them, by way of the scratch
-        folder, as a table cannot be read while it is replaced.
+        What other feeds brought stays where it lies; table and rows change over in one step.
+        ``kept`` are further rows with the ``BATCH_ID`` and ``FEED`` they belong to.
         """
-        new = rows.withColumns({BATCH_ID: F.lit(batch_id), FEED: F.lit(feed)})
-        if self.exists(table, rows.schema):
-            path = scratch_path(self.spark, "refresh")
-            new.unionByName(self.read_other_feeds(table, rows.schema, feed)).write.parquet(path)
-            new = self.spark.read.schema(new.schema).parquet(path)
-        (
-            new.write.format(self.fmt).mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy(BATCH_ID, FEED).save(self.path(table))
-        )
+        if self.fmt == "delta":
+            new = rows.withColumns({BATCH_ID: F.lit(batch_id), FEED: F.lit(feed)})
+            if kept is not None:
+                new = new.unionByName(kept)
+            if self.exists(table, rows.schema):
+                path = scratch_path(self.spark, "refresh")
+                new.unionByName(self.read_other_feeds(table, rows.schema, feed)).write.parquet(path)
+                new = self.spark.read.schema(new.schema).parquet(path)
+            (
+                new.write.format("delta").mode("overwrite").option("partitionOverwriteMode", "static")
+                .partitionBy(BATCH_ID, FEED).save(self.path(table))
+            )
+            return
+        others = [folder for folder in self._current(table) if not _share_source(_batch_and_feed(folder)[1], feed)]
+        own = [self._written(table, rows, _partition(batch_id, feed))]
+        own += [self._written(table, part, _partition(*place)) for place, part in _by_partition(kept)]
+        self.publish(table, [*others, *own])
 
     def replace_table(self, table: str, rows: DataFrame) -> None:
         """Write a table without batches, such as a stage table, anew."""
-        rows.write.format(self.fmt).mode("overwrite").save(self.path(table))
+        if self.fmt == "delta":
+            rows.write.format("delta").mode("overwrite").save(self.path(table))
+        else:
+            self.publish(table, [self._written(table, rows, "")])
 
     def has_table(self, table: str) -> bool:
         """Whether a table without batches was ever written."""
@@ -151,8 +263,11 @@ class FolderStore:
         return True
 
     def read_table(self, table: str) -> DataFrame:
-        """A table without batches."""
-        return self.spark.read.format(self.fmt).load(self.path(table))
+        """A table with the schema of its files; batch and feed, where it has them, are text."""
+        found = self._scan(table, None)
+        if self.fmt == "delta" or BATCH_ID not in found.columns:
+            return found
+        return self._scan(table, T.StructType([f for f in found.schema.fields if f.name not in (BATCH_ID, FEED)]))
 
 
 class BucketedStore(FolderStore):
@@ -173,7 +288,7 @@ class BucketedStore(FolderStore):
     def _name(self, table: str) -> str:
         return f"{self.database}.{table}"
 
-    def _scan(self, table: str, schema: T.StructType) -> DataFrame:
+    def _scan(self, table: str, schema: T.StructType | None) -> DataFrame:
         if self.spark.catalog.tableExists(self._name(table)):
             return self.spark.table(self._name(table))
         return super()._scan(table, schema)
@@ -200,13 +315,19 @@ class BucketedStore(FolderStore):
                 f"CREATE TABLE {name} ({columns}, {BATCH_ID} STRING, {FEED} STRING) USING parquet "
                 f"PARTITIONED BY ({BATCH_ID}, {FEED}) CLUSTERED BY ({', '.join(by)}) INTO {self.buckets} BUCKETS"
             )
+        self._insert(table, rows, batch_id, feed, spread)
+
+    def _insert(self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str]) -> None:
         # One file per bucket; the keys are hashes, so the buckets are even.
+        part = f"PARTITION ({BATCH_ID} = {_literal(batch_id)}, {FEED} = {_literal(feed)})"
         self.spark.sql(
-            f"INSERT INTO {name} {part} SELECT {', '.join(f'`{c}`' for c in rows.columns)} FROM {{rows}}",
-            rows=rows.repartition(self.buckets, *by),
+            f"INSERT INTO {self._name(table)} {part} SELECT {', '.join(f'`{c}`' for c in rows.columns)} FROM {{rows}}",
+            rows=rows.repartition(self.buckets, *spread),
         )
 
-    def refresh(self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str] = ()) -> None:
+    def refresh(
+        self, table: str, rows: DataFrame, batch_id: str, feed: str, spread: Sequence[str] = (), kept: DataFrame | None = None
+    ) -> None:
         name = self._name(table)
         if self.spark.catalog.tableExists(name):
             path = scratch_path(self.spark, "refresh")
@@ -214,6 +335,8 @@ class BucketedStore(FolderStore):
             rows = self.spark.read.schema(rows.schema).parquet(path)
             for part in self.spark.sql(f"SHOW PARTITIONS {name}").collect():
                 batch, of = (unquote(p.split("=", 1)[1]) for p in part[0].split("/"))
-                if set(of.split("+")) & set(feed.split("+")):
+                if _share_source(of, feed):
                     self.spark.sql(f"ALTER TABLE {name} DROP PARTITION ({BATCH_ID} = {_literal(batch)}, {FEED} = {_literal(of)})")
         self.replace_batch(table, rows, batch_id, feed, spread)
+        for place, part in _by_partition(kept):
+            self._insert(table, part, *place, spread)
