@@ -20,6 +20,7 @@ from collections.abc import Mapping
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vaultwright.llm.common import bounded_broadcast, table, text_key, written
 
@@ -62,7 +63,7 @@ def _tokens(docs: DataFrame) -> DataFrame:
 
 
 def _telling(tokens: DataFrame, sample: DataFrame, least_g: float, n: Mapping[str, int]) -> DataFrame:
-    """The telling features with their ``gain`` and the shares of the domains among their documents.
+    """The telling features, numbered as ``rule`` by rising gain, and the shares of the domains among their documents.
 
     A feature tells if the documents that have it are spread over the domains unlike all
     documents, by a G statistic of ``least_g``; its gain is that statistic per document.
@@ -73,8 +74,11 @@ def _telling(tokens: DataFrame, sample: DataFrame, least_g: float, n: Mapping[st
     counts = seen.groupBy("feature").agg(*[F.sum((F.col("domain") == d).cast("long")).alias(d) for d in DOMAINS])
     having = sum((F.col(d) for d in DOMAINS[1:]), F.col(DOMAINS[0]))
     g = 2 * sum((F.when(F.col(d) > 0, F.col(d) * F.log(F.col(d) * total / (max(n[d], 1) * having))).otherwise(0.0) for d in DOMAINS), F.lit(0.0))
+    # The features of the sample only, however many documents there are. One number stands for
+    # gain and feature: the largest of a document's numbers is found without sorting its features.
+    rule = F.row_number().over(Window.orderBy(F.col("g") / having, "feature"))
     return written(counts.withColumn("g", g).filter(F.col("g") >= least_g).select(
-        "feature", (F.col("g") / having).alias("gain"), *[(F.col(d) / having).alias("share_" + d) for d in DOMAINS]), "telling")
+        "feature", rule.alias("rule"), *[(F.col(d) / having).alias("share_" + d) for d in DOMAINS]), "telling")
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, sample: int = 50_000, least_g: float = 30.0, pull: float = 1.0) -> DataFrame:
@@ -97,16 +101,14 @@ def classify(docs: DataFrame, labels: DataFrame, *, sample: int = 50_000, least_
     telling = _telling(_tokens(sampled), chosen, least_g, n)
     keys = ["row", "doc_id", "text_key", "n_tokens"]
     each = _tokens(docs).select(*keys, F.explode_outer("features").alias("feature"))
-    gains = bounded_broadcast(telling.select("feature", "gain"), telling.count(), MOST_BROADCAST_ROWS)
+    rules = bounded_broadcast(telling.select("feature", "rule"), telling.count(), MOST_BROADCAST_ROWS)
     # Each row's features are reduced to one before the shuffle.
     ruled = written(
-        each.join(gains, "feature", "left").groupBy(*keys)
-        .agg(F.max(F.when(F.col("gain").isNotNull(), F.struct("gain", "feature"))).alias("rule"))
-        .select(*keys, F.coalesce("rule.feature", F.lit(-1).cast("long")).alias("rule")), "rules")
+        each.join(rules, "feature", "left").groupBy(*keys).agg(F.coalesce(F.max("rule"), F.lit(0)).alias("rule")), "rules")
     decided = ruled.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).groupBy("rule").agg(
         F.count("*").alias("n"), *[F.sum((F.col("domain") == d).cast("long")).alias("decided_" + d) for d in DOMAINS])
-    known = telling.select(F.col("feature").alias("rule"), *["share_" + d for d in DOMAINS]).union(
-        docs.sparkSession.range(1).select(F.lit(-1).cast("long").alias("rule"), *[F.lit(prior[d]).alias("share_" + d) for d in DOMAINS]))
+    known = telling.select("rule", *["share_" + d for d in DOMAINS]).union(
+        docs.sparkSession.range(1).select(F.lit(0).alias("rule"), *[F.lit(prior[d]).alias("share_" + d) for d in DOMAINS]))
     shares = written(known.join(decided, "rule", "left").select("rule", *[
         ((F.coalesce("decided_" + d, F.lit(0)) + pull * F.col("share_" + d)) / (F.coalesce("n", F.lit(0)) + pull)).alias(d) for d in DOMAINS]), "shares")
     return written(ruled.join(bounded_broadcast(shares, shares.count(), MOST_BROADCAST_ROWS), "rule").drop("rule"), "members")
