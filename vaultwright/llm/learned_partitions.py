@@ -26,6 +26,7 @@ class Settings:
 
     13 probes of 16 parts find over 0.95 of the true neighbours among vectors that lie
     all around a 64-dimensional sphere, the hardest case; clustered ones need fewer.
+    Parts come from repeated halving, so their number is a power of two.
     """
 
     sample: int = 8192
@@ -37,6 +38,10 @@ class Settings:
     block_rows: int = 16_384
     block_queries: int = 2_048
 
+    def __post_init__(self) -> None:
+        if self.parts < 1 or self.parts & (self.parts - 1):
+            raise ValueError(f"parts must be a power of two, not {self.parts}")
+
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
     """Row numbers of the ``k`` nearest other rows of each row."""
@@ -135,16 +140,19 @@ class Router:
 def fit_router(vectors: DataFrame, n: int, settings: Settings) -> Router | None:
     """A router from a sample of at most ``settings.sample`` rows, chosen by hash of the id.
 
-    None, that is one part for all, where the sample is too small to be cut.
+    A small sample is cut into the same parts, from a graph with fewer neighbours: a
+    quarter of a part at most. None, that is one part for all, only where that is not one,
+    below four different vectors a part.
     """
     share = min(1 << 20, max(1, settings.sample * (1 << 20) // (n + n // 10 + 1)))
     sample = vectors.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < share).limit(settings.sample)
     x = np.array([row.vector for row in sample.select("vector").collect()], dtype=np.float64)
     x = np.unique(x, axis=0) if len(x) else x
     parts = settings.parts
-    if len(x) < 4 * parts * settings.neighbours:
+    neighbours = min(settings.neighbours, len(x) // (4 * parts))
+    if not neighbours:
         return None
-    graph = neighbour_graph(x, settings.neighbours)
+    graph = neighbour_graph(x, neighbours)
     label = np.eye(parts)[balanced_parts(graph, parts)]
     # A query needs the parts of its neighbours, so those count besides its own.
     return Router.fit(x, 0.3 * label + 0.7 * label[graph].mean(1), settings)

@@ -32,6 +32,9 @@ BEGIN, ASTRAL = 0x02, 0xFFFF
 BLOCK_CHARS = 1 << 20
 HELD_OUT = 4
 MOST_BROADCAST_ROWS = 2_000_000
+# The limit of a language whose held-out documents are this many counts half: fewer do not
+# reach beyond a quantile of 99.5 %, so that their own one is the largest of them.
+PULL = 200
 
 
 def runs_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -207,13 +210,14 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     ).filter("q = 1 AND t = 0").select("doc_id")
 
 
-def perplexities(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, head: int = 1 << 17) -> DataFrame:
+def perplexities(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, pull: float = 0, head: int = 1 << 17) -> DataFrame:
     """Per row: ``doc_id``, ``lang``, ``text_key``, ``n_tokens``, ``perplexity``, ``threshold``, ``keep``.
 
     ``labels`` has ``doc_id``, ``quality``, ``toxic``; documents it calls good and not
     toxic are trusted. One in ``HELD_OUT``, by hash of the id, is not trained on. The
-    threshold of a language is the ``quantile`` of those, of a language without any
-    (also of a null one) that of all of them; if there are none at all, there is no
+    threshold of a language is the ``quantile`` of those, drawn towards that of all of them:
+    n documents of its own count n times, the overall one ``pull`` times. A language without
+    any (also a null one) has the overall one; if there are none at all, there is no
     threshold and every text is kept. Null and
     empty texts have no perplexity and are not kept. Rows stay as they are, repeated or
     not; a null id is never trusted. Other columns are not read.
@@ -248,25 +252,27 @@ def perplexities(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995,
         "doc_id", "lang", "held_out", "text_key", "n_tokens", F.round(perplexity, 6).alias("perplexity")), "perplexities")
     good = result.filter("held_out AND perplexity IS NOT NULL")
     limit = F.percentile_approx("perplexity", quantile, 100_000)
-    by_language = good.groupBy(F.col("lang").alias("of")).agg(limit.alias("own"))
+    by_language = good.groupBy(F.col("lang").alias("of")).agg(
+        limit.alias("own"), F.count("*").alias("held"))
     overall = good.agg(limit.alias("overall"))
     return (
         result.join(F.broadcast(overall)).join(by_language, F.col("lang") == F.col("of"), "left")
-        .withColumn("threshold", F.coalesce("own", "overall"))
+        .withColumn("threshold", F.coalesce(
+            (F.col("held") * F.col("own") + F.lit(float(pull)) * F.col("overall")) / (F.col("held") + F.lit(float(pull))), "overall"))
         .select("doc_id", "lang", "text_key", "n_tokens", "perplexity", "threshold", (
             F.col("perplexity").isNotNull() & (F.col("threshold").isNull() | (F.col("perplexity") <= F.col("threshold")))
         ).alias("keep"))
     )
 
 
-def quality_filter(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, head: int = 1 << 17) -> DataFrame:
+def quality_filter(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, pull: float = 0, head: int = 1 << 17) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns, whatever their names.
 
     Equal texts of one language share their fate. Null and empty texts have no perplexity and go;
     a null language is a language of its own; repeated rows stay or go together; without
     labels every text with a word stays. Without rows the result is empty.
     """
-    found = perplexities(docs, labels, quantile=quantile, head=head)
+    found = perplexities(docs, labels, quantile=quantile, pull=pull, head=head)
     gone = written(
         found.filter(~F.col("keep")).select("text_key", F.col("lang").alias("of")).distinct(), "rejected")
     # The caller's columns travel as one, so none of their names can clash.
@@ -276,4 +282,4 @@ def quality_filter(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.99
 
 
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return perplexities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_key")
+    return perplexities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), pull=PULL).drop("text_key")
