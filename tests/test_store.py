@@ -152,6 +152,9 @@ def test_unreadable_cells_keep_their_line(spark, tmp_path):
     assert rows[3]["__RAW_LINE"] == "3,c"
     assert rows[4]["year"] is None and rows[4]["name"] == "\\N" and rows[4]["__RAW_LINE"] is None
     assert rows[5]["__RAW_LINE"] is None
+    lines = ['7,"say ""hi"", you",20o9', '8,,20o9', '9, b ,20o9']
+    open(path, "w").write("\n".join(["id,name,year", *lines]) + "\n")
+    assert [r["__RAW_LINE"] for r in read_csv(spark, path, schema, report=True).collect()] == lines
     open(path, "w").write('id,name,year\n1,"two\nlines",5\n')
     assert tuples(read_csv(spark, path, schema, multi_line=True)) == [(1, "two\nlines", 5)]
 

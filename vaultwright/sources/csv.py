@@ -61,7 +61,9 @@ def read_csv(
         typed.append(value.alias(field.name))
     if not report:
         return read.select(*typed)
-    line = F.to_csv(F.struct(*[F.coalesce(F.col(f.name), F.lit("")).alias(f.name) for f in schema.fields]), {"sep": sep})
+    line = F.to_csv(F.struct(*[F.coalesce(F.col(f.name), F.lit("")).alias(f.name) for f in schema.fields]), {
+        "sep": sep, "quote": '"', "escape": '"', "emptyValue": "",
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
     return read.select(*typed, F.coalesce(RAW_LINE, F.when(unfit, line)).alias(RAW_LINE))
 
 
