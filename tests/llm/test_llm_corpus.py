@@ -188,20 +188,6 @@ def test_perplexity(spark, head):
     assert kept.columns == docs.columns and kept.count() == sum(r.keep for r in got)
 
 
-def test_limits_of_small_languages_are_drawn_to_the_overall_one(spark):
-    rng = random.Random(3)
-    rows = [(n, words(rng, rng.randrange(5, 40)), "de" if n % 9 == 0 else "en") for n in range(150)]
-    docs, marks = documents(spark, rows), labels(spark, [(n, 1, 0) for n in range(150)])
-    limits = [{r.lang: r.threshold for r in perplexity.perplexities(docs, marks, quantile=0.9, pull=pull).collect()}
-              for pull in (0, 200, 1e12)]
-    held = {r[0] for r in spark.range(150).filter(f"pmod(xxhash64(id), {perplexity.HELD_OUT}) = 0").collect()}
-    overall = limits[2]["en"]
-    assert limits[2]["de"] == pytest.approx(overall)
-    for lang in ("de", "en"):
-        n = sum(r[0] in held and r[2] == lang for r in rows)
-        assert n and limits[1][lang] == pytest.approx((n * limits[0][lang] + 200 * overall) / (n + 200))
-
-
 def test_perplexity_without_labels_or_documents(spark):
     docs, none = documents(spark, odd_rows()[:-1]), labels(spark, [])
     assert perplexity.quality_filter(docs, none).count() == sum(bool(r[1]) for r in odd_rows()[:-1])
@@ -349,7 +335,7 @@ def test_small_tables_are_cut_into_parts_too(spark):
     few = table.limit(10)
     settings = learned_partitions.Settings(parts=8, probes=4)
     router = learned_partitions.fit_router(learned_partitions.usable(table), 200, settings)
-    assert router.probabilities(rng.standard_normal((5, 8))).shape == (5, 8)
+    assert router.coarse and router.probabilities(rng.standard_normal((5, 8))).shape == (5, 8)
     assert learned_partitions.fit_router(learned_partitions.usable(few), 10, settings) is None
     with pytest.raises(ValueError, match="power of two"):
         learned_partitions.Settings(parts=12)

@@ -102,11 +102,12 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Router:
-    """One hidden layer, softmax over the parts."""
+    """One hidden layer, softmax over the parts; ``coarse`` if fitted on a graph with fewer neighbours."""
 
     mean: np.ndarray
     scale: float
     weights: list[np.ndarray]
+    coarse: bool = False
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         w1, b1, w2, b2 = self.weights
@@ -141,7 +142,7 @@ def fit_router(vectors: DataFrame, n: int, settings: Settings) -> Router | None:
     """A router from a sample of at most ``settings.sample`` rows, chosen by hash of the id.
 
     A small sample is cut into the same parts, from a graph with fewer neighbours: a
-    quarter of a part at most. None, that is one part for all, only where that is not one,
+    quarter of a part at most; its queries are sent to one part more. None, that is one part for all, only where that is not one,
     below four different vectors a part.
     """
     share = min(1 << 20, max(1, settings.sample * (1 << 20) // (n + n // 10 + 1)))
@@ -155,7 +156,9 @@ def fit_router(vectors: DataFrame, n: int, settings: Settings) -> Router | None:
     graph = neighbour_graph(x, neighbours)
     label = np.eye(parts)[balanced_parts(graph, parts)]
     # A query needs the parts of its neighbours, so those count besides its own.
-    return Router.fit(x, 0.3 * label + 0.7 * label[graph].mean(1), settings)
+    router = Router.fit(x, 0.3 * label + 0.7 * label[graph].mean(1), settings)
+    router.coarse = neighbours < settings.neighbours
+    return router
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -262,7 +265,7 @@ def nearest_neighbours(vectors: DataFrame, is_query, *, k: int = 10, settings: S
     clean = usable(vectors)
     n = clean.count()
     router = fit_router(clean, n, settings)
-    placed = _placed(clean, router, settings.probes).withColumn("row", F.monotonically_increasing_id())
+    placed = _placed(clean, router, settings.probes + bool(router and router.coarse)).withColumn("row", F.monotonically_increasing_id())
     rows = written(placed, "learned-partitions")
     queries = rows.filter(is_query)
     found = written(
