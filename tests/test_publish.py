@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import os
+from dataclasses import replace
 
 import pytest
 from conftest import tuples
 from test_store import HUB, SAT, things, vault  # noqa: F401
 
 from vaultwright.loading.vault import Vault
+from vaultwright.operators.build import with_version
+from vaultwright.operators.newrows import newest_versions
 from vaultwright.sources.store import FolderStore
-from vaultwright.spec import INT, columns
+from vaultwright.spec import INT, PASS_NULLS, STANDARD, SatSpec, columns
 
 SCHEMA = HUB.schema(columns(id=INT))
 
@@ -112,3 +115,97 @@ def test_checks_of_vault_tables(spark, vault, batches):  # noqa: F811
     vault.store.replace_batch(HUB.name, again, batches[1].id, "y.csv", HUB.spread)
     assert vault.check_table(HUB, staged.schema, batches[0]).isEmpty()
     assert tuples(vault.check_table(HUB, staged.schema, batches[1]), "rule", "column_name", "row_count") == [("primary_key", "THING_HK", 2)]
+
+
+LATEST = SatSpec("SAT_LATEST", HUB, ("name",), history="latest")
+VERSIONS = [
+    [(1, 1, "a"), (2, 1, "b"), (3, 1, None)],
+    [(1, 1, "x"), (2, 1, "b")],
+    [(1, 1, "a"), (4, 1, "d")],
+    [(1, 1, "a"), (2, 1, "c"), (3, 1, "")],
+]
+
+
+def junk(store, table, batch):
+    """Make what a batch stored unreadable."""
+    for folder, _, files in os.walk(store.path(table)):
+        if f"BATCH_ID={batch.id}" in folder:
+            for name in files:
+                with open(os.path.join(folder, name), "wb") as out:
+                    out.write(b"no parquet")
+
+
+@pytest.mark.parametrize("threshold, rule", [("10MB", STANDARD), ("-1", PASS_NULLS)])
+def test_loads_read_the_newest_versions_instead_of_the_history(spark, conf, tmp_path, batches, threshold, rule):
+    conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+    spec = replace(LATEST, rule=rule, hash_parent=rule is STANDARD)
+    kept, plain = Vault(FolderStore(spark, str(tmp_path / "kept"))), Vault(FolderStore(spark, str(tmp_path / "plain")))
+    plain._renew_current = lambda *args: None
+    stored = []
+    for n, (rows, batch) in enumerate(zip(VERSIONS, batches)):
+        for vault in (kept, plain):
+            for _ in range(1 + (n == 3)):  # a repeated load finds what was newest before it
+                vault.load_satellite(things(spark, *rows), spec, "x.csv", batch)
+        assert plain.current(spec, batch) is None
+        own = [tuples(v.read(spec, things(spark, *rows)).where(f"BATCH_ID = '{batch.id}'"), *spec.columns) for v in (kept, plain)]
+        assert own[0] == own[1]
+        stored.append([r[2] for r in own[0]])
+        if n < 2:
+            junk(kept.store, spec.name, batch)
+    assert [sorted(names, key=repr) for names in stored] == [["a", "b", None], ["x"], ["a", "d"], ["", "c"]]
+    newest = kept.current(spec, batches[3])
+    history = with_version(plain.read(spec, things(spark, *VERSIONS[0])), spec)
+    assert tuples(newest) == tuples(newest_versions(history, spec.version))
+
+
+def test_the_history_is_read_again_where_the_newest_versions_do_not_follow_from_it(spark, tmp_path, batches):
+    vault = Vault(FolderStore(spark, str(tmp_path)))
+    for rows, batch in zip(VERSIONS[:3], batches):
+        vault.load_satellite(things(spark, *rows), LATEST, "x.csv", batch)
+    vault.load_satellite(things(spark, (1, 1, "y")), LATEST, "x.csv", batches[1])  # an older batch, changed
+    assert vault.current(LATEST, batches[2]) is None
+    vault.load_satellite(things(spark, (1, 1, "y"), (2, 1, "b")), LATEST, "x.csv", batches[3])
+    found = tuples(vault.read(LATEST, things(spark, *VERSIONS[0])), "name", "BATCH_ID")
+    assert ("y", "004") in found and ("b", "004") not in found
+    assert vault.current(LATEST, batches[3]).count() == 4
+
+
+def test_feeds_with_letters_beyond_ascii_come_again(spark, tmp_path, batches):
+    vault = Vault(FolderStore(spark, str(tmp_path)))
+    for _ in range(2):
+        vault.load_hub([(things(spark, (1, 1, "a")), HUB, "a/b>c=ö.csv")], batches[0])
+    vault.load_hub([(things(spark, (1, 1, "a"), (2, 1, "a")), HUB, "x.csv")], batches[0])
+    assert tuples(vault.read(HUB, things(spark)), "THING_BK", "FEED") == [("1", "a/b>c=ö.csv"), ("2", "x.csv")]
+
+
+def test_compaction_keeps_batches_and_feeds(spark, tmp_path, batches):
+    vault = Vault(FolderStore(spark, str(tmp_path)))
+    load = lambda ids, batch, feed="x.csv": vault.load_hub([(things(spark, *[(i, 1, "a") for i in ids]), HUB, feed)], batch)
+    read = lambda: tuples(vault.read(HUB, things(spark)), "THING_BK", "BATCH_ID", "FEED")
+    for n, batch in enumerate(batches[:4]):
+        load([n, n + 10], batch)
+    load([77], batches[1], "a/b>c=ö")
+    before = read()
+    assert vault.store.compact(HUB.name, batches[2].id) == 4
+    assert read() == before
+    named = {f.split("/>")[-1] for f in vault.store.published(HUB.name)}
+    assert len(named) == 2
+    merged = next(f for f in named if f.startswith("merged/"))
+    assert len([f for f in os.listdir(f"{vault.store.path(HUB.name)}/{merged}") if f.startswith("part-")]) == 1
+    assert vault.store.batch_ids(HUB.name) == {b.id for b in batches[:4]}
+    with pytest.raises(ValueError):
+        load([5], replace(batches[0], id="0000"))
+    # An old load comes again: its rows in the merged folder are no longer part of the table.
+    load([1, 99], batches[1])
+    assert read() == sorted([r for r in before if r[1:] != ("002", "x.csv")] + [("1", "002", "x.csv"), ("99", "002", "x.csv")], key=repr)
+    # A key that only merged loads hold does not come again, and a second merge takes in the first.
+    load([0, 99, 50], batches[4])
+    assert vault.store.compact(HUB.name, batches[4].id) == 4
+    assert len({f.split("/>")[-1] for f in vault.store.published(HUB.name)}) == 1
+    assert [r[0] for r in read() if r[1] == "005"] == ["50"]
+    assert vault.store.compact(HUB.name, batches[4].id) == 0
+    # Refreshing a feed takes its rows out of the merged folder.
+    Vault(vault.store, refresh=True).load_hub([(things(spark, (8, 1, "a")), HUB, "x.csv")], batches[4])
+    assert read() == [("77", "002", "a/b>c=ö"), ("8", "005", "x.csv")]
+    folders_there = folders(vault.store, HUB.name)
+    assert vault.store.read_table(HUB.name).count() == 2 and len(folders_there) >= 2

@@ -4,12 +4,12 @@ batches stored, written in place of any earlier try of the same batch."""
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from vaultwright.loading.staging import stage
 from vaultwright.operators.build import (
@@ -18,13 +18,13 @@ from vaultwright.operators.build import (
 )
 from vaultwright.operators.checks import pk_violations, violations
 from vaultwright.operators.joins import equal, fits_broadcast, pack, renamed, unpack
-from vaultwright.operators.newrows import new_rows, new_rows_by_size, new_versions, rows_among
+from vaultwright.operators.newrows import new_rows, new_rows_by_size, new_versions, newest_versions, renewed_versions, rows_among
 from vaultwright.operators.surrogate import surrogate_key
 from vaultwright.operators.views import create_stage_view
 from vaultwright.session import scratch_path
 from vaultwright.sources.csv import RAW_LINE
 from vaultwright.sources.store import FolderStore
-from vaultwright.spec import BATCH_ID, FEED, HASH_DIFF, LOAD_DATE, RECORD_SOURCE, Batch, HubSpec, LinkSpec, SatSpec, StageSpec
+from vaultwright.spec import BATCH_ID, FEED, HASH_DIFF, LOAD_DATE, RECORD_SOURCE, VERSION, Batch, HubSpec, LinkSpec, SatSpec, StageSpec
 
 
 @dataclass(frozen=True)
@@ -227,17 +227,58 @@ class Vault:
             return LoadResult(spec.name, "refresh")
         if not self.store.exists(spec.name, schema):
             self.store.replace_batch(spec.name, build(), batch.id, feed, spec.spread)
+            self._renew_current(spec, schema, batch, [])
             return LoadResult(spec.name, "initial")
         target = self.store.read_others(spec.name, schema, batch.id, feed)
+        before = self.store.loads_before(spec.name, batch.id, feed)
         bound = sum(df.count() for df in staged) if row_bound is None else row_bound
         if isinstance(spec, SatSpec):
-            rows = self._new_versions(spec, build, staged[0], target, feed, batch, bound)
+            current, by = self._current(spec, before), spec
+            if current is not None:  # one version per parent: what is not among them is new
+                target, by = current, replace(spec, history="any")
+            rows = self._new_versions(by, build, staged[0], target, feed, batch, bound)
         else:
             packed = not self.store.bucketed
             rows = build(keep=partial(_new_keys, target=target, on=spec.match, row_bound=bound, packed=packed))
         self.store.replace_batch(spec.name, rows, batch.id, feed, spec.spread)
+        self._renew_current(spec, schema, batch, before)
         return LoadResult(spec.name, "incremental")
 
+    def _current(self, spec: SatSpec, entries: Sequence[str] | None) -> DataFrame | None:
+        """The newest version of every parent in ``entries``, from ``CURRENT_<satellite>``; None if not kept.
+
+        It is kept for satellites that compare with the newest version, in plain folders, for
+        the loads that it follows from: after a refresh, a compaction or a reload of
+        an older batch the history is read once, and the table kept anew.
+        """
+        if spec.policy != "hash_diff" or spec.history != "latest" or entries is None:
+            return None
+        names = [StructField(c, StringType()) for c in spec.version]
+        return self.store.read_derived(f"CURRENT_{spec.name}", entries, StructType([*names, StructField(LOAD_DATE, TimestampType())]))
+
+    def _renew_current(self, spec: HubSpec | LinkSpec | SatSpec, schema: StructType, batch: Batch, before: Sequence[str] | None) -> None:
+        """Bring ``CURRENT_<satellite>`` from the loads ``before`` to those there are now; a repeated load finds both."""
+        if not isinstance(spec, SatSpec) or spec.policy != "hash_diff" or spec.history != "latest":
+            return
+        entries = self.store.loads_before(spec.name, batch.id, None)
+        if before is None or entries is None:
+            return
+
+        def versions(of: Sequence[str]) -> DataFrame:
+            return with_version(self.store.read_loads(spec.name, schema, of), spec).select(*spec.version, LOAD_DATE)
+
+        current = self._current(spec, before)
+        if current is None:
+            rows = newest_versions(versions(entries), spec.version)
+        else:
+            fresh = versions([entry for entry in entries if entry not in before])
+            rows = renewed_versions(current, fresh, spec.version, row_bound=fresh.count())
+        self.store.write_derived(f"CURRENT_{spec.name}", entries, rows, before)
+
+    def current(self, spec: SatSpec, batch: Batch) -> DataFrame | None:
+        """Key, version and load date of the newest version of each parent after ``batch``, if that is kept."""
+        return self._current(spec, self.store.loads_before(spec.name, batch.id, None))
+
     def _new_versions(
         self,
         spec: SatSpec,
@@ -257,7 +298,8 @@ class Vault:
         if fits_broadcast(staged, row_bound, spec.match):
             return build(keep=partial(new_versions, target=target, spec=spec, row_bound=row_bound))
         spark, path = staged.sparkSession, scratch_path(staged.sparkSession, "versions")
-        hashes, target = sat_hashes(staged, spec), with_version(target, spec)
+        hashes = sat_hashes(staged, spec)
+        target = target if VERSION in target.columns else with_version(target, spec)
         batch_keys, target_keys = hashes.select(*spec.match), target.select(*spec.match, LOAD_DATE)
         if self.store.bucketed:  # the stored side is partitioned by the text already
             fresh = new_versions(batch_keys.distinct(), target_keys, spec)

@@ -124,6 +124,33 @@ def changed_since_latest(
     )
 
 
+def newest_versions(rows: DataFrame, version: Sequence[str]) -> DataFrame:
+    """``version`` and load date of what each parent held at its latest load.
+
+    Several versions of one load are all newest. Dates and versions combine on the map
+    side; a parent's history is never gathered in one task.
+    """
+    hk = version[0]
+    versions = rows.groupBy(*version).agg(F.max(LOAD_DATE).alias(LOAD_DATE))
+    last = renamed(rows, [hk, LOAD_DATE], "last_").groupBy("last_" + hk).agg(F.max("last_" + LOAD_DATE).alias("last"))
+    held = versions.join(last, equal("", "last_", [hk]))
+    return held.where(F.col(LOAD_DATE) == F.col("last")).select(*version, LOAD_DATE)
+
+
+def renewed_versions(current: DataFrame, fresh: DataFrame, version: Sequence[str], *, row_bound: int) -> DataFrame:
+    """``newest_versions`` after the rows ``fresh`` were added to those behind ``current``.
+
+    Only the parents of ``fresh``, at most ``row_bound`` rows, are looked at again; if their
+    keys fit a broadcast, the others stay where they lie.
+    """
+    hk = version[0]
+    parents = renamed(fresh, [hk], "fresh_").distinct()
+    parents = F.broadcast(parents) if fits_broadcast(fresh, row_bound, [hk]) else parents
+    same = equal("", "fresh_", [hk])
+    touched = current.join(parents, same, "left_semi").unionByName(fresh)
+    return current.join(parents, same, "left_anti").unionByName(newest_versions(touched, version))
+
+
 def rows_among(rows: DataFrame, fresh: DataFrame, spec: SatSpec) -> DataFrame:
     """The satellite rows whose version is among the new ones."""
     wanted = renamed(fresh, spec.match, "fresh_")

@@ -104,6 +104,44 @@ def refresh_interrupted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vault.read(spec, customer).select("CUSTOMER_HK", "c_mktsegment", BATCH_ID)
 
 
+@query(f"""
+    SELECT {sql_hk('c_custkey')} AS CUSTOMER_HK, c_mktsegment, '{FIRST.id}' AS BATCH_ID, c_acctbal >= 0 AS is_current FROM customer
+    UNION ALL SELECT {sql_hk('c_custkey')}, 'GONE', '{SECOND.id}', c_mktsegment <> 'BUILDING' FROM customer WHERE c_acctbal < 0
+    UNION ALL SELECT {sql_hk('c_custkey')}, c_mktsegment, '{THIRD.id}', true FROM customer WHERE c_acctbal < 0 AND c_mktsegment = 'BUILDING'
+""")
+def sat_history_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments go, and some come back, the third batch twice: loads compare with the kept newest versions."""
+    vault, customer, debt = fresh_vault(spark), table(spark, sf_dir, "customer"), F.col("c_acctbal") < 0
+    spec = SatSpec("SAT_SEGMENT", HUB_CUSTOMER, ("c_mktsegment",), history="latest")
+    gone = customer.withColumn("c_mktsegment", F.when(debt, "GONE").otherwise(F.col("c_mktsegment")))
+    back = customer.withColumn("c_mktsegment", F.when(debt & (F.col("c_mktsegment") != "BUILDING"), "GONE").otherwise(F.col("c_mktsegment")))
+    for batch, rows in ((FIRST, customer), (SECOND, gone), (THIRD, back), (THIRD, back)):
+        vault.load_satellite(rows, spec, "customer.csv", batch)
+    newest = vault.current(spec, THIRD).withColumn("is_current", F.lit(True))
+    return vault.read(spec, customer).join(newest, ["CUSTOMER_HK", "HASH_DIFF", "LOAD_DATE"], "left").select(
+        "CUSTOMER_HK", "c_mktsegment", BATCH_ID, F.coalesce("is_current", F.lit(False)).alias("is_current"))
+
+
+@query(f"""
+    SELECT {sql_hk('o_orderkey')} AS ORDER_HK, cast(o_orderkey as varchar) AS ORDER_BK, 'ORDERS.CSV' AS RECORD_SOURCE,
+           CASE WHEN o_orderstatus = 'F' THEN '{FIRST.id}' WHEN year(o_orderdate) < 1996 THEN '{SECOND.id}' ELSE '{THIRD.id}' END AS BATCH_ID
+    FROM orders WHERE NOT (o_orderstatus <> 'F' AND year(o_orderdate) < 1996 AND o_orderpriority = '1-URGENT')
+       OR year(o_orderdate) >= 1996 OR o_orderstatus = 'F'
+""")
+def hub_after_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches are merged into few files, the second is then loaded again with fewer orders, and a third
+    compares with what both hold."""
+    vault, orders = fresh_vault(spark), table(spark, sf_dir, "orders")
+    load = lambda rows, batch: vault.load_hub([(rows, HUB_ORDER, "orders.csv")], batch)
+    filled, early = F.col("o_orderstatus") == "F", F.year("o_orderdate") < 1996
+    load(orders.where(filled), FIRST)
+    load(orders.where(filled | early), SECOND)
+    vault.store.compact(HUB_ORDER.name, SECOND.id)
+    load(orders.where(filled | (early & (F.col("o_orderpriority") != "1-URGENT"))), SECOND)
+    load(orders.where(filled | ~early), THIRD)
+    return vault.read(HUB_ORDER, orders).select("ORDER_HK", "ORDER_BK", "RECORD_SOURCE", BATCH_ID)
+
+
 @query("""
     SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_acctbal < 0, c_custkey) AS ID FROM customer
 """)

@@ -8,13 +8,18 @@ Parquet tables are published at once. A load writes a folder of its own inside t
 partition; then one small file in ``_published`` names the folders that make up the
 table from now on. A load that dies in between leaves the table as it was, and a
 reader never sees half of one. Read a table through its store, not by its path.
+
+Old loads can be merged into few files: their rows then lie in one folder, with batch and
+feed as columns, and the publication still names every load, with the folder that holds it.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
 from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
@@ -51,6 +56,37 @@ def _batch_and_feed(folder: str) -> tuple[str, str]:
     return unquote(batch.removeprefix(f"{BATCH_ID}=")), unquote(feed.removeprefix(f"{FEED}="))
 
 
+# Stands between a load and the folder of merged loads that holds its rows; batch and feed are
+# percent-escaped, so it is no part of them.
+_WITHIN = "/>"
+
+
+def _folder(entry: str) -> str:
+    """Where the rows of a published load lie."""
+    return entry.split(_WITHIN)[-1]
+
+
+def _merged(entries: Iterable[str]) -> dict[str, list[tuple[str, str]]]:
+    """Folders of merged loads, each with the batches and feeds it still stands for."""
+    held: dict[str, list[tuple[str, str]]] = {}
+    for entry in entries:
+        if _WITHIN in entry:
+            held.setdefault(_folder(entry), []).append(_batch_and_feed(entry))
+    return held
+
+
+def _of_loads(places: Sequence[tuple[str, str]]) -> Column:
+    """Rows of the given batches and feeds."""
+    batches: dict[str, list[str]] = {}
+    for batch, feed in places:
+        batches.setdefault(feed, []).append(batch)
+    return reduce(Column.__or__, [(F.col(FEED) == feed) & F.col(BATCH_ID).isin(ids) for feed, ids in sorted(batches.items())])
+
+
+def _digest(entries: Iterable[str]) -> str:
+    return hashlib.md5(json.dumps(sorted(entries)).encode("utf-8")).hexdigest()
+
+
 def _share_source(feed: str, other: str) -> bool:
     return bool(set(feed.split("+")) & set(other.split("+")))
 
@@ -142,17 +178,38 @@ class FolderStore:
             named = json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
         finally:
             stream.close()
-        return [folder for folder in named if folder not in kept]
+        used = set(map(_folder, kept))
+        return [folder for folder in dict.fromkeys(map(_folder, named)) if folder not in used]
 
     def _scan(self, table: str, schema: T.StructType | None) -> DataFrame:
+        folders = None if self.fmt == "delta" else self.published(table)
+        if folders is not None:
+            return self.read_loads(table, schema, folders)
         reader = self.spark.read.format(self.fmt)
         if schema is not None and self.fmt != "delta":  # a delta table carries its schema
             reader = reader.schema(_stored(schema))
-        folders = None if self.fmt == "delta" else self.published(table)
-        if folders is None:
-            return reader.load(self.path(table))
-        paths = [f"{self.path(table)}/{folder}" for folder in folders]
-        return reader.option("basePath", self.path(table)).load(paths)
+        return reader.load(self.path(table))
+
+    def read_loads(self, table: str, schema: T.StructType | None, entries: Sequence[str]) -> DataFrame:
+        """What the published ``entries`` hold; Spark prunes by batch and feed also within merged loads."""
+        root, merged = self.path(table), _merged(entries)
+        if merged and schema is None:
+            found = self.spark.read.format(self.fmt).load(f"{root}/{next(iter(merged))}").schema
+            schema = T.StructType([f for f in found.fields if f.name not in (BATCH_ID, FEED)])
+
+        def reader():
+            return self.spark.read.format(self.fmt) if schema is None else self.spark.read.format(self.fmt).schema(_stored(schema))
+
+        own = [entry for entry in entries if _WITHIN not in entry]
+        # Spark reads an escaped byte of a folder's name as one letter: such names are told here.
+        named = [entry for entry in own if entry.startswith(f"{BATCH_ID}=") and not "".join(_batch_and_feed(entry)).isascii()]
+        plain = [f"{root}/{entry}" for entry in own if entry not in named]
+        parts = [reader().option("basePath", root).load(plain)] if plain or not (merged or named) else []
+        for entry in named:
+            batch, feed = _batch_and_feed(entry)
+            parts.append(reader().load(f"{root}/{entry}").withColumns({BATCH_ID: F.lit(batch), FEED: F.lit(feed)}))
+        parts += [reader().load(f"{root}/{folder}").where(_of_loads(places)) for folder, places in merged.items()]
+        return reduce(DataFrame.unionByName, parts)
 
     def exists(self, table: str, schema: T.StructType) -> bool:
         """Whether the table was ever written. Any other failure is raised."""
@@ -172,6 +229,56 @@ class FolderStore:
         batch = F.col(BATCH_ID)
         return self._scan(table, schema).where((batch < batch_id) | ((batch == batch_id) & (F.col(FEED) != feed)))
 
+    def loads_before(self, table: str, batch_id: str, feed: str | None) -> list[str] | None:
+        """The published entries that ``read_others`` reads, or all up to the batch without ``feed``.
+
+        An entry never changes what it holds, so equal entries mean equal rows. None
+        for tables that are not published that way.
+        """
+        entries = None if self.fmt == "delta" else self.published(table)
+        if entries is None:
+            return None
+        places = [(entry, *_batch_and_feed(entry)) for entry in entries]
+        return [entry for entry, b, f in places if b < batch_id or (b == batch_id and f != feed)]
+
+    def read_derived(self, table: str, entries: Sequence[str], schema: T.StructType) -> DataFrame | None:
+        """What ``write_derived`` kept for exactly these entries of another table; None if there is nothing."""
+        part = f"of={_digest(entries)}/"
+        for folder in self.published(table) or []:
+            if folder.startswith(part):
+                return self.spark.read.format(self.fmt).schema(schema).load(f"{self.path(table)}/{folder}")
+        return None
+
+    def write_derived(self, table: str, entries: Sequence[str], rows: DataFrame, before: Sequence[str]) -> None:
+        """Keep ``rows``, which follow from ``entries``, next to what is kept for the entries ``before``."""
+        kept = [folder for folder in self.published(table) or [] if folder.startswith(f"of={_digest(before)}/")]
+        self.publish(table, [*kept, self._written(table, rows, f"of={_digest(entries)}")])
+
+    def compact(self, table: str, through: str, *, file_bytes: int = 128 * 2**20) -> int:
+        """Merge the loads of batches up to ``through`` into files of about ``file_bytes``; returns how many folders it merged.
+
+        Batch and feed of a row stay, and a load that comes again still replaces its own rows
+        only: the publication then no longer names it for the merged folder. Files are
+        joined as they lie, without a shuffle, and sorted by batch and feed, so a scan
+        skips row groups of other batches. Readers that have begun keep the old
+        folders until the next but one publication.
+        """
+        if self.fmt == "delta":
+            raise NotImplementedError("a delta table is compacted by its own means")
+        entries = self._current(table)
+        old = [entry for entry in entries if _batch_and_feed(entry)[0] <= through]
+        folders = set(map(_folder, old))
+        if len(folders) < 2:
+            return 0
+        sizes = [files.getContentSummary(path).getLength() for files, path in (self._files(f"{self.path(table)}/{f}") for f in folders)]
+        rows = self.read_table(table).where(F.col(BATCH_ID) <= through)
+        target = f"merged/v{uuid.uuid4().hex}"
+        few = rows.coalesce(max(1, -(-sum(sizes) // file_bytes))).sortWithinPartitions(BATCH_ID, FEED)
+        few.write.format(self.fmt).save(f"{self.path(table)}/{target}")
+        places = [f"{_partition(*_batch_and_feed(entry))}{_WITHIN}{target}" for entry in old]
+        self.publish(table, [*[entry for entry in entries if entry not in old], *places])
+        return len(folders)
+
     def batch_ids(self, table: str) -> set[str]:
         """The batches a table holds, by the names of its partitions: no data is read."""
         if self.fmt == "delta":
@@ -293,6 +400,14 @@ class BucketedStore(FolderStore):
             return self.spark.table(self._name(table))
         return super()._scan(table, schema)
 
+    def loads_before(self, table: str, batch_id: str, feed: str | None) -> list[str] | None:
+        return None if self.spark.catalog.tableExists(self._name(table)) else super().loads_before(table, batch_id, feed)
+
+    def compact(self, table: str, through: str, *, file_bytes: int = 128 * 2**20) -> int:
+        if self.spark.catalog.tableExists(self._name(table)):
+            raise NotImplementedError("bucketed tables are not compacted: their files are one per bucket and load")
+        return super().compact(table, through, file_bytes=file_bytes)
+
     def batch_ids(self, table: str) -> set[str]:
         if not self.spark.catalog.tableExists(self._name(table)):
             return super().batch_ids(table)
