@@ -122,3 +122,16 @@ def test_hash_keys_of_both_sides_are_shuffled_as_bytes(spark, conf, tmp_path):
     rows = newrows.new_rows(batch, target, HUB.match, packed=True)
     assert plan(rows).count("Project [unhex(") == 2
     assert rows.columns == batch.columns and tuples(rows) == tuples(batch.where("id > 2"))
+
+
+def test_circuits_of_constructors_lie_together(spark, vault, batches):
+    races = [(r, 2024, 1, 1 + r % 20, "n", "2024-01-01", "00:00:00", "u") for r in range(200)]
+    results = [(n, n % 200, 1, 1 + n * 7 % 30, *[1] * 3, "1", 1, 1.0, 1, None, *[None] * 3, None, None, 1) for n in range(3000)]
+    vault.stage(spark.createDataFrame(races, m.RACES.schema), m.RACES, ["RACEID", "CIRCUITID"])
+    vault.stage(spark.createDataFrame(results, m.RESULTS.schema), m.RESULTS, ["RACEID", "CONSTRUCTORID"])
+    m.load_circuits_constructor(vault, batches[0])
+    stored = vault.store.read_table("LNK_CIRCUITS_CONSTRUCTOR")
+    pairs = {(1 + n % 200 % 20, 1 + n * 7 % 30) for n in range(3000)}
+    assert stored.count() == stored.select("CIRCUIT_CONSTRUCTOR_HK").distinct().count() == len(pairs)
+    for part in stored.rdd.map(lambda r: r["CIRCUIT_HK"]).glom().collect():
+        assert sum(a != b for a, b in zip(part, part[1:], strict=False)) == max(len(set(part)) - 1, 0)
