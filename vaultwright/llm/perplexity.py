@@ -10,8 +10,8 @@ D the discount by count (1, 2, 3 and more) and h a run without its last characte
 down to the even chance of every character and one unseen. Runs are counted once over
 all documents, each task adding up its own first. Counts, contexts and shorter runs are
 tables sharded by run and meet in joins, which give every run of the corpus its log
-probability. Documents look their runs up: the ``head`` most frequent ones, which would
-be hot keys of a join, in a table of that fixed size, all others in a join. A document
+probability. Documents look their runs up: the most frequent ones, which would be hot
+keys of a join, in a table of at most ``head`` runs, all others in a join. A document
 is kept if its perplexity is at most the quantile of the trusted ones of its language:
 of the quarter of them held out of training, which new texts resemble.
 """
@@ -173,6 +173,27 @@ def log_probabilities(runs: DataFrame, model: tuple[list[DataFrame], list[DataFr
     return found.withColumn("logp", F.log("p")).drop("p")
 
 
+def most_frequent(known: DataFrame, head: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs and log probabilities of the most frequent rows of ``known`` (``run``, ``n``, ``logp``), in order of run.
+
+    Counts are cut into 64 levels per doubling, and whole levels are taken from the top as
+    long as they hold at most ``head`` runs together. So one row per level and the runs
+    taken reach the driver, however many partitions ``known`` has.
+    """
+    level = F.floor(F.log2("n") * 64)
+    sizes = sorted(((r.level, r.runs) for r in known.groupBy(level.alias("level")).agg(F.count("*").alias("runs")).collect()), reverse=True)
+    lowest, taken = None, 0
+    for at, runs in sizes:
+        taken += runs
+        if taken > head:
+            break
+        lowest = at
+    if lowest is None:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.float64)
+    top = known.filter(level >= lowest).select("run", "logp").toArrow().sort_by("run")
+    return top["run"].to_numpy(), top["logp"].to_numpy()
+
+
 def _score(runs: np.ndarray, logp: np.ndarray, at: int, columns: int):
     """Head log probabilities summed per document, and its other runs with their counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,10 +253,9 @@ def perplexities(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995,
         .groupBy("run").agg(F.sum("n").alias("n"), F.sum("n_trusted").alias("c")), "run-counts")
     model = train(counts.filter("c > 0"))
     known = written(log_probabilities(counts.select("run", "n"), model), "log-probabilities")
-    top = known.orderBy(F.desc("n"), "run").limit(head).select("run", "logp").toPandas().sort_values("run")
     scored = written(
         rows.mapInArrow(
-            tidy(_score(top["run"].to_numpy(np.int64), top["logp"].to_numpy(np.float64), 5, 4)),
+            tidy(_score(*most_frequent(known, head), 5, 4)),
             "doc_id long, lang string, held_out boolean, text_key binary, n_tokens long, head double, "
             "runs array<long>, times array<long>",
         ).withColumn("row", F.monotonically_increasing_id()), "scored")
