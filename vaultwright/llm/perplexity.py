@@ -268,7 +268,9 @@ def perplexities(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995,
         "doc_id", "lang", "held_out", "text_key", "n_tokens", F.round(perplexity, 6).alias("perplexity")), "perplexities")
     good = result.filter("held_out AND perplexity IS NOT NULL")
     limit = F.percentile_approx("perplexity", quantile, 100_000)
-    by_language = good.groupBy(F.col("lang").alias("of")).agg(limit.alias("own"))
+    # Written and counted: else the rows of a language meet in one task before the join.
+    by_language = written(good.groupBy(F.col("lang").alias("of")).agg(limit.alias("own")), "limits")
+    by_language = bounded_broadcast(by_language, by_language.count(), MOST_BROADCAST_ROWS)
     overall = good.agg(limit.alias("overall"))
     return (
         result.join(F.broadcast(overall)).join(by_language, F.col("lang") == F.col("of"), "left")
